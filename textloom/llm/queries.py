@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textloom.llm import quality_rules, url_filters
+from textloom.llm import quality_rules, url_filters, warc
 from textloom.registry import Registry
 
 REGISTRY = Registry()
@@ -26,3 +26,9 @@ URL_RULES = url_filters.decode_rules(block=["net/", "example.com/de/"], allow=["
 @query("op9_url_filters")
 def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge(_table(spark, sf_dir, "pages"), URL_RULES)
+
+
+@query("op8_warc", warc.ORACLE)
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    back = warc.round_trip(_table(spark, sf_dir, "pages"))
+    return back.selectExpr("key AS page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
