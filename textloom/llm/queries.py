@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from textloom.llm import quality_rules, url_filters, warc
+from textloom.llm import quality_rules, toxicity, url_filters, warc
 from textloom.registry import Registry
 
 REGISTRY = Registry()
@@ -15,6 +16,18 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def held_out() -> Column:
+    """True for documents whose labels no model may see."""
+    return F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+
+
+@query("op1_toxicity")
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    model = toxicity.train(documents, labels.filter(~held_out()))
+    return toxicity.score(documents, model).select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
 @query("op7_quality_rules", quality_rules.ORACLE)
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.rules(_table(spark, sf_dir, "documents"))
