@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import quality_rules, toxicity, url_filters, warc
+from textloom.llm import quality_classifier, quality_rules, toxicity, url_filters, warc
 from textloom.registry import Registry
 
 REGISTRY = Registry()
@@ -45,3 +45,11 @@ def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     back = warc.round_trip(_table(spark, sf_dir, "pages"))
     return back.selectExpr("key AS page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op10_quality_classifier")
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    ratio = quality_classifier.log_ratio(documents, labels.filter("quality = 1"))
+    ranked, limit = quality_classifier.ranked(documents, ratio)
+    return ranked.select(F.col("key").alias("doc_id"), "log_weight", "sampling_key", F.coalesce(F.col("sampling_key") >= limit, F.lit(False)).alias("kept"))
