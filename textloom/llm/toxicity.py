@@ -69,8 +69,8 @@ def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return (keys >> np.uint64(BITS)).astype(np.int64), (keys & np.uint64((1 << BITS) - 1)).astype(np.int64)
 
 
-def fit(row: np.ndarray, bucket: np.ndarray, labels: np.ndarray, smooth: float = 1.0, least_ratio: float = 1.0, least_docs: int = 4, l2: float = 0.1, steps: int = 300) -> Model:
-    """Log-count ratios of the features (row, bucket), then logistic regression on the ratios of the n-grams present, by full gradients with Adam.
+def fit(sizes: np.ndarray, bucket: np.ndarray, labels: np.ndarray, smooth: float = 1.0, least_ratio: float = 1.0, least_docs: int = 4, l2: float = 0.1, steps: int = 300) -> Model:
+    """Log-count ratios of the features, ``bucket`` holding ``sizes[i]`` of them for row i, then logistic regression on the ratios of the n-grams present, by full gradients with Adam.
 
     Only n-grams of at least ``least_docs`` documents and a ratio of at least ``least_ratio`` either way are weighted; the others hardly tell
     the labels apart. Both labels weigh the same in total, so 0.5 is where the evidence is even.
@@ -80,10 +80,14 @@ def fit(row: np.ndarray, bucket: np.ndarray, labels: np.ndarray, smooth: float =
     if n == 0 or y.min() == y.max():
         share = 0.5 if n == 0 else min(max(y.mean(), 1e-6), 1 - 1e-6)
         return Model(np.zeros(size, np.float32), float(np.log(share / (1 - share))))
-    p = np.bincount(bucket, weights=y[row], minlength=size) + smooth
-    q = np.bincount(bucket, weights=1 - y[row], minlength=size) + smooth
+    row = np.repeat(np.arange(n, dtype=np.int32), sizes)
+    p, q = np.full(size, smooth), np.full(size, smooth)
+    for at in range(0, len(bucket), 1 << 20):  # piece by piece: few of the features are used further on
+        positive = labels[row[at : at + (1 << 20)]] == 1
+        p += np.bincount(bucket[at : at + (1 << 20)][positive], minlength=size)
+        q += np.bincount(bucket[at : at + (1 << 20)][~positive], minlength=size)
     ratio = np.log(p / p.sum()) - np.log(q / q.sum())
-    scale = 1 / np.sqrt(np.maximum(np.bincount(row, minlength=n), 1))
+    scale = 1 / np.sqrt(np.maximum(sizes, 1))
     used = (np.abs(ratio) >= least_ratio) & (p + q - 2 * smooth >= least_docs)
     telling = used[bucket]
     row, bucket = row[telling], bucket[telling]
@@ -134,7 +138,9 @@ def train(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: st
     lists = [c for c in found.column("buckets").chunks if len(c)]
     bucket = np.concatenate([c.flatten().to_numpy() for c in lists] or [np.zeros(0, np.int32)])
     size = np.concatenate([c.value_lengths().to_numpy(zero_copy_only=False) for c in lists] or [np.zeros(0, np.int64)])
-    return fit(np.repeat(np.arange(len(size)), size), bucket, found.column("label").to_numpy())
+    label = found.column("label").to_numpy()
+    del found, lists
+    return fit(size, bucket, label)
 
 
 def score(documents: DataFrame, model: Model, threshold: float = 0.3, key: str = "doc_id", text: str = "text") -> DataFrame:
