@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import quality_classifier, quality_rules, toxicity, url_filters, warc
+from textloom.llm import decontamination, quality_classifier, quality_rules, toxicity, url_filters, warc
 from textloom.registry import Registry
 
 REGISTRY = Registry()
@@ -53,3 +53,17 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     ratio = quality_classifier.log_ratio(documents, labels.filter("quality = 1"))
     ranked, limit = quality_classifier.ranked(documents, ratio)
     return ranked.select(F.col("key").alias("doc_id"), "log_weight", "sampling_key", F.coalesce(F.col("sampling_key") >= limit, F.lit(False)).alias("kept"))
+
+
+@query("op6_decontamination")
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.find(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+        "longest",
+    )
