@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import decontamination, quality_classifier, quality_rules, toxicity, url_filters, warc
+from textloom.llm import decontamination, packing, quality_classifier, quality_rules, toxicity, url_filters, warc
 from textloom.registry import Registry
 
 REGISTRY = Registry()
@@ -16,6 +16,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def held_out() -> Column:
     """True for documents whose labels no model may see."""
     return F.crc32(F.col("doc_id").cast("string")) % 4 == 2
@@ -67,3 +73,8 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("n_hit") > 0).alias("contaminated"),
         "longest",
     )
+
+
+@query("op5_packing")
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"), tokenizer_path())
