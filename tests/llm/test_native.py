@@ -10,6 +10,7 @@ from conftest import SF  # noqa: E402
 from oracle import same  # noqa: E402
 
 from textloom.llm import queries, quality_rules, url_filters  # noqa: E402
+from textloom.llm.components import components  # noqa: E402
 
 TEXTS = [None, "", " \n\t ", "a b c a b c d", "x x x x x", "one\n\none\n one\none", "é ü\x0b#*$ <b> & | %", "w " * 300, "long " + "z" * 5000]
 
@@ -85,5 +86,5 @@ def test_components(spark):
     for _ in range(100):
         for a, b in edges:
             root[a] = root[b] = min(root[a], root[b])
-    got = {r.node: r.root for r in url_filters.components(spark.createDataFrame(edges, "a string, b string")).collect()}
+    got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a string, b string")).collect()}
     assert got == root

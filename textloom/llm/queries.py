@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import decontamination, line_dedup, packing, quality_classifier, quality_rules, toxicity, url_filters, warc
+from textloom.llm import decontamination, line_dedup, ngram_join, packing, quality_classifier, quality_rules, toxicity, url_filters, warc
 from textloom.registry import Registry
 
 REGISTRY = Registry()
@@ -84,3 +84,8 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.dedup(_table(spark, sf_dir, "documents").select("doc_id", "text"), with_gone="gone")
     return kept.select("doc_id", F.size("gone").cast("long").alias("n_removed_lines"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+@query("op3_ngram_join")
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(_table(spark, sf_dir, "documents"))

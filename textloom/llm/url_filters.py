@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import written
+from textloom.llm.components import components
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 CANONICAL = r"""(?is)<link\s[^>]*?\brel\s*=\s*["']?canonical\b[^>]*>"""
@@ -80,34 +80,6 @@ def page_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
     return ends.filter("a != b").distinct()
 
 
-def components(edges: DataFrame, max_steps: int = 60) -> DataFrame:
-    """(node, root) for each node of ``edges`` (a, b): root is the smallest node that it can reach.
-
-    A large-star step hangs each larger neighbour of a node on the least of its neighbours and itself, a small-star step the smaller
-    ones. Both keep components and end, after about log(n) steps, in stars. The minima are combined before the shuffle;
-    the join back to the edges is a plain equi-join, which the adaptive planner splits where a hub is hot.
-    """
-    edges = written(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    for _ in range(max_steps):
-        if edges.isEmpty():
-            break
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.filter("a != b").distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a")
-        small = small.select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
-        after = written(small.select("e.*").filter("a != b").distinct(), "edges")
-        stable = after.exceptAll(edges).isEmpty() and edges.exceptAll(after).isEmpty()
-        edges = after
-        if stable:
-            break
-    else:
-        raise RuntimeError(f"components did not settle in {max_steps} steps")
-    return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
-
-
 def judge(pages: DataFrame, rules: Sequence[tuple[str, str]], key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """(key, host, path, rule, verdict) for each page.
 
