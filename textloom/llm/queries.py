@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import decontamination, line_dedup, ngram_join, packing, quality_classifier, quality_rules, toxicity, url_filters, warc
+from textloom.llm import decontamination, line_dedup, ngram_join, packing, quality_classifier, quality_rules, suffix_dedup, toxicity, url_filters, warc
 from textloom.registry import Registry
 
 REGISTRY = Registry()
@@ -89,3 +89,9 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_ngram_join")
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(_table(spark, sf_dir, "documents"))
+
+
+@query("op2_suffix_dedup")
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = suffix_dedup.dedup(_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.col("sha256").alias("kept_sha256"))
