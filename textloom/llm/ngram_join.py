@@ -4,13 +4,13 @@
 2. Highly similar sets. Sets that agree in the least hash under one of two permutations, and in size class, are compared with
    the first of them. A set found alike is in its component; its other answers within the component follow from that and are
    never computed.
-3. Index lists by position. All sets share one order of shingles: those of low hash first, but the very frequent ones last of them, then the
-   rest by hash. Alike sets share a shingle among their first (1 - t) * n + 1, and a shingle at position i leaves room for n - i shared
-   ones. So list entries whose size or position rules a link out are skipped, and so are those of one component. What is left is held against
-   the shingles of low hash, which bound the overlap again, and then verified on the whole sets.
+3. Index lists by position. All sets share one order of shingles: by hash, but very frequent ones last. Alike sets share a
+   shingle among their first (1 - t) * n + 1, and a shingle at position i leaves room for n - i shared ones. So list entries whose
+   size or position rules a link out are skipped, and so are those of one component. What is left is held against the first shingles of both
+   sets, which bound the overlap again, and then verified on the whole sets.
 4. Components of all links, by alternating star steps.
 
-Which shingles are called frequent only orders the lists and can't change the result; they are found in each task, summed over all and the most
+Which shingles are called frequent only orders the lists and can't change the result; they are counted in every task, summed over all and the most
 frequent ``max_hot`` broadcast (a size known beforehand). Whole sets are fetched for the texts of candidate pairs alone; their list is broadcast only if
 it is counted to be small, and joined by shuffle otherwise. Hot lists and hot sets are keys of inner joins or of minima.
 
@@ -34,8 +34,6 @@ from textloom.llm.components import components
 #: Similarity of at least NUM / DEN.
 NUM, DEN = 4, 5
 _U = np.uint64
-#: Shingles of lower hash are ordered by frequency too.
-LOW = _U(int(0.22 * 2**64))
 BROADCAST_BYTES = 32 << 20
 
 
@@ -75,28 +73,47 @@ def small_side(df: DataFrame, row_bytes: int) -> DataFrame:
     return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
 
 
-def describe(documents: DataFrame, key: str, text: str, n: int) -> DataFrame:
-    """A written table of (rid, key, size, name, m1, m2, low) per document, and of (hot shingles, counts) of each task, in rows of null rid.
+def hot_shingles(documents: DataFrame, text: str, n: int, least: int = 16, max_hot: int = 1 << 20) -> np.ndarray:
+    """Sorted shingles that documents have often: seen twice and more in a task's share, ``least`` times over such shares; the most frequent ``max_hot`` of them."""
 
-    ``low`` holds the size, then the shingles below LOW, and as many of the next as the prefix needs, by hash.
-    """
-    rows = documents.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    kind = rows.schema["key"].dataType.simpleString()
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        arrow_key: pa.DataType = pa.null()
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: list[np.ndarray] = []
 
-        def hot() -> pa.RecordBatch:
-            value, count = np.unique(np.concatenate(seen), return_counts=True)
-            often = count >= 3
-            lists = [pa.array([x[often].view(np.int64)], pa.list_(pa.int64())) for x in (value, count.astype(np.int64))]
+        def often() -> pa.RecordBatch:
+            value, times = np.unique(np.concatenate(seen), return_counts=True)
             seen.clear()
-            none = [pa.nulls(1, t) for t in (arrow_key, pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())]
-            return pa.RecordBatch.from_arrays([pa.array([True]), *none, *lists], columns)
+            return pa.RecordBatch.from_arrays([pa.array(value[times > 1].view(np.int64)), pa.array(times[times > 1])], ["t", "n"])
 
         for batch in batches:
-            arrow_key = batch.column(0).type
+            for _, _, _, found, _ in sets(batch.column(0), n):
+                seen.append(found)
+                if sum(map(len, seen)) > 1 << 22:
+                    yield often()
+        if seen:
+            yield often()
+
+    each = documents.select(F.col(text).alias("text")).mapInArrow(count, "t long, n long").groupBy("t").agg(F.sum("n").alias("n"))
+    top = each.filter(F.col("n") >= least).orderBy(F.desc("n"), "t").limit(max_hot).select("t").toArrow()
+    return np.sort(top.column("t").to_numpy().view(_U))
+
+
+def ordered(bounds: np.ndarray, found: np.ndarray, hot: np.ndarray) -> np.ndarray:
+    """The shingles of each set in the order shared by all: 63 bits of the hash, below a bit for the frequent ones."""
+    key = found >> _U(1)
+    if len(hot):
+        is_hot = hot[np.minimum(np.searchsorted(hot, found), len(hot) - 1)] == found
+        key |= is_hot.astype(_U) << _U(63)
+        key = key[np.lexsort((key, np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))))]
+    return key
+
+
+def describe(documents: DataFrame, key: str, text: str, n: int, hot: np.ndarray) -> DataFrame:
+    """A written table of (rid, key, size, name, m1, m2, prefix) per document; ``prefix`` holds the size, then the first shingles in order."""
+    rows = documents.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    kind = rows.schema["key"].dataType.simpleString()
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
             for lo, hi, bounds, found, size in sets(batch.column(1), n):
                 name = names(bounds, found)
                 some = size > 0
@@ -108,18 +125,12 @@ def describe(documents: DataFrame, key: str, text: str, n: int) -> DataFrame:
                 # Size classes by steps of a quarter: alike sets are in one class or in two next to each other.
                 grade = np.floor(np.log(np.maximum(size, 1)) / np.log(1.25)).astype(_U)
                 buckets = [mix(x ^ (grade + _U(k << 32))).view(np.int64) for k, x in enumerate(least)]
-                n_low = np.add.reduceat(np.concatenate((found < LOW, [False])).astype(np.int64), np.minimum(bounds[:-1], len(found))) if len(found) else np.zeros(hi - lo, np.int64)
-                keep = np.where(some, np.maximum(n_low, prefix_length(size)), 0)
-                low = [size[i].astype(np.int64).tobytes() + found[b : b + k].tobytes() for i, (b, k) in enumerate(zip(bounds[:-1].tolist(), keep.tolist(), strict=True))]
-                yield pa.RecordBatch.from_arrays([pa.nulls(hi - lo, pa.bool_()), batch.column(0).slice(lo, hi - lo), pa.array(size), pa.array(name.view(np.int64)), *map(pa.array, buckets), pa.array(low, pa.binary()), *[pa.nulls(hi - lo, pa.list_(pa.int64()))] * 2], columns)
-                seen.append(found[found < LOW])
-                if sum(map(len, seen)) > 1 << 22:
-                    yield hot()
-        if seen:
-            yield hot()
+                key, keep = ordered(bounds, found, hot), np.where(some, prefix_length(size), 0)
+                prefix = [size[i].astype(np.int64).tobytes() + key[b : b + k].tobytes() for i, (b, k) in enumerate(zip(bounds[:-1].tolist(), keep.tolist(), strict=True))]
+                columns = [batch.column(0).slice(lo, hi - lo), pa.array(size), pa.array(name.view(np.int64)), *map(pa.array, buckets), pa.array(prefix, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["key", "size", "name", "m1", "m2", "prefix"])
 
-    columns = ["stats", "key", "size", "name", "m1", "m2", "low", "hot", "counts"]
-    schema = f"stats boolean, key {kind}, size long, name long, m1 long, m2 long, low binary, hot array<long>, counts array<long>"
+    schema = f"key {kind}, size long, name long, m1 long, m2 long, prefix binary"
     return written(rows.mapInArrow(work, schema).withColumn("rid", F.monotonically_increasing_id()), "sets")
 
 
@@ -165,7 +176,7 @@ def alike(a: pa.Array, b: pa.Array) -> pa.Array:
 
 
 def maybe_alike(a: pa.Array, b: pa.Array) -> pa.Array:
-    """False where two sets can't be alike, going by their sizes and the shingles up to a hash to which both lists are whole."""
+    """False where two sets can't be alike, going by their sizes and the shingles up to a place in the order to which both lists are whole."""
     out = []
     for x, y in zip(a, b, strict=True):
         p, q = np.frombuffer(x.as_buffer(), _U), np.frombuffer(y.as_buffer(), _U)
@@ -177,38 +188,22 @@ def maybe_alike(a: pa.Array, b: pa.Array) -> pa.Array:
     return pa.array(out, pa.bool_())
 
 
-def hot_shingles(table: DataFrame, least: int = 32, max_hot: int = 1 << 18) -> np.ndarray:
-    """Sorted shingles below LOW that tasks saw at least ``least`` times in all; the most frequent ``max_hot`` of them."""
-    each = table.filter("stats").select(F.explode(F.arrays_zip("hot", "counts")).alias("z")).groupBy(F.col("z.hot").alias("t")).agg(F.sum("z.counts").alias("n"))
-    top = each.filter(F.col("n") >= least).orderBy(F.desc("n"), "t").limit(max_hot).select("t").toArrow()
-    return np.sort(top.column("t").to_numpy().view(_U))
-
-
-def entries(table: DataFrame, hot: np.ndarray) -> DataFrame:
-    """(shingle, name, size, place, part) of each prefix shingle of the sets in ``table`` (name, size, part, low)."""
+def entries(table: DataFrame) -> DataFrame:
+    """(shingle, name, size, place, part) of each prefix shingle of the sets in ``table`` (name, part, prefix)."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 2048):
-                name, size, part, low = (c.slice(at, 2048) for c in batch.columns)
-                size = size.to_numpy()
-                lists = [np.frombuffer(x.as_buffer(), _U)[1:] for x in low]
-                if not lists:
-                    continue
-                row = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-                shingle = np.concatenate(lists)
-                where = np.searchsorted(hot, shingle)
-                is_hot = np.zeros(len(shingle), bool)
-                if len(hot):
-                    is_hot = hot[np.minimum(where, len(hot) - 1)] == shingle
-                order = np.lexsort((shingle, is_hot, shingle >= LOW, row))
-                row, shingle = row[order], shingle[order]
-                place = np.arange(len(row)) - np.searchsorted(row, row)
-                first = place < prefix_length(size)[row]
-                row, shingle, place = row[first], shingle[first], place[first]
-                yield pa.RecordBatch.from_arrays([pa.array(shingle.view(np.int64)), pa.array(name.to_numpy()[row]), pa.array(size[row].astype(np.int32)), pa.array(place.astype(np.int32)), pa.array(part.to_numpy()[row])], ["shingle", "name", "size", "place", "part"])
-
-    return table.select("name", "size", "part", "low").mapInArrow(emit, "shingle long, name long, size int, place int, part long")
+                name, part, prefix = (c.slice(at, 2048) for c in batch.columns)
+                lists = [np.frombuffer(x.as_buffer(), _U) for x in prefix]
+                lengths = np.array([len(x) - 1 for x in lists])
+                row = np.repeat(np.arange(len(lists)), lengths)
+                size = np.array([int(x[0]) for x in lists], np.int32)[row]
+                place = (np.arange(len(row)) - np.repeat(np.cumsum(lengths) - lengths, lengths)).astype(np.int32)
+                shingle = np.concatenate([x[1:] for x in lists]).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(shingle), pa.array(name.to_numpy()[row]), pa.array(size), pa.array(place), pa.array(part.to_numpy()[row])], ["shingle", "name", "size", "place", "part"])
+
+    return table.select("name", "part", "prefix").mapInArrow(emit, "shingle long, name long, size int, place int, part long")
 
 
 def candidates(index: DataFrame) -> DataFrame:
@@ -229,8 +224,7 @@ def candidates(index: DataFrame) -> DataFrame:
 
 def join(documents: DataFrame, key: str = "doc_id", text: str = "text", n: int = 5) -> DataFrame:
     """(key, n_shingles, component_id, n_links) per document; links are those that were verified, which join all that is alike."""
-    table = describe(documents, key, text, n)
-    docs = table.filter("stats IS NULL").select("rid", "key", "size", "name", "m1", "m2", "low")
+    docs = describe(documents, key, text, n, hot_shingles(documents, text, n))
     full = docs.filter("size > 0")
     reps = full.groupBy("name").agg(F.min("rid").alias("rid"))
     reps = written(full.select("rid", "key", "name", "size", "m1", "m2").join(reps.select("rid"), "rid"), "reps")
@@ -240,15 +234,15 @@ def join(documents: DataFrame, key: str = "doc_id", text: str = "text", n: int =
     for m in ("m1", "m2"):
         leader = reps.groupBy(m).agg(F.min("name").alias("b"), F.count(F.lit(1)).alias("n")).filter("n > 1").select(m, "b")
         stars.append(reps.select(F.col("name").alias("a"), m).join(leader, m).filter("a != b").select("a", "b"))
-    lows = docs.join(small_side(reps.select("rid"), 32), "rid", "left_semi").select("name", F.col("low").alias("members"))
-    stars = paired(written(stars[0].unionByName(stars[1]).distinct(), "stars"), lows, maybe_alike)
+    prefixes = docs.join(small_side(reps.select("rid"), 32), "rid", "left_semi").select("name", F.col("prefix").alias("members"))
+    stars = paired(written(stars[0].unionByName(stars[1]).distinct(), "stars"), prefixes, maybe_alike)
     near = verified(documents, key, text, n, wanted, written(stars, "stars"))
     part = components(near)
 
     parts = reps.select("rid", "name").join(part.withColumnRenamed("node", "name"), "name", "left")
     parts = small_side(written(parts.select("rid", F.coalesce("root", "name").alias("part")), "parts"), 48)
-    index = entries(docs.select("rid", "name", "size", "low").join(parts, "rid"), hot_shingles(table))
-    pairs = paired(written(candidates(index), "met"), lows, maybe_alike)
+    index = entries(docs.select("rid", "name", "prefix").join(parts, "rid"))
+    pairs = paired(written(candidates(index), "met"), prefixes, maybe_alike)
     far = verified(documents, key, text, n, wanted, written(pairs, "pairs"))
 
     links = near.unionByName(far)
