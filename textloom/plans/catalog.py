@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from textloom.plans import retrieval
+from textloom.plans import retrieval, texts
 from textloom.plans.base import REGISTRY
 
-__all__ = ["REGISTRY", "retrieval"]
+__all__ = ["REGISTRY", "retrieval", "texts"]
