@@ -18,13 +18,12 @@ def asof(left: DataFrame, right: DataFrame, by: Sequence[str], on: str, value: s
     ``right``, a value lapses from that point on.
     """
     names = left.columns
-    lapse = F.col(until) if until else F.lit(None)
     a = left.select(*names, F.lit(None).alias("_mark"), F.lit(1).alias("_side"))
-    b = right.select(*by, on, F.struct(F.col(value).alias("v"), lapse.cast("double").alias("u")).alias("_mark"), F.lit(0).alias("_side"))
+    b = right.select(*by, on, F.struct(F.col(value).alias("v"), F.col(until or on).alias("u")).alias("_mark"), F.lit(0).alias("_side"))
     order = Window.partitionBy(*by).orderBy(on, "_side").rowsBetween(Window.unboundedPreceding, 0)
     both = a.unionByName(b, allowMissingColumns=True).withColumn("_last", F.last("_mark", ignorenulls=True).over(order))
-    live = F.col("_last.u").isNull() | (F.col(on).cast("double") < F.col("_last.u"))
-    return both.filter("_side = 1").select(*names, F.when(live, F.col("_last.v")).alias(value))
+    last = F.when(F.col("_last.u").isNull() | (F.col(on) < F.col("_last.u")), F.col("_last.v")) if until else F.col("_last.v")
+    return both.filter("_side = 1").select(*names, last.alias(value))
 
 
 def interval_owner(points: DataFrame, windows: DataFrame, by: Sequence[str], at: Column, start: str, end: str, width: float) -> DataFrame:

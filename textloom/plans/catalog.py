@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from textloom.plans import retrieval, texts
+from textloom.plans import ordered, retrieval, texts
 from textloom.plans.base import REGISTRY
 
-__all__ = ["REGISTRY", "retrieval", "texts"]
+__all__ = ["REGISTRY", "ordered", "retrieval", "texts"]
