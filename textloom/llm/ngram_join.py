@@ -1,8 +1,8 @@
 """N-gram Jaccard join with set-relation skipping: documents whose sets of word shingles are alike, and their components.
 
 1. Sets. Every text becomes the set of its shingles' 64-bit hashes. Equal sets are one: only the first row of each takes part further.
-2. Highly similar sets. Sets that agree in the least hash under one of two permutations, and in size class, are compared with
-   the first of them. A set found alike is in its component; its other answers within the component follow from that and are
+2. Highly similar sets. Sets that agree in the least hash under one of three permutations, and in size class, are compared with
+   the first of them in the table, copies mostly coming after their original. A set found alike is in its component; its other answers within the component follow from that and are
    never computed.
 3. Index lists by position. All sets share one order of shingles: by hash, but very frequent ones last. Alike sets share a
    shingle among their first (1 - t) * n + 1, and a shingle at position i leaves room for n - i shared ones. So list entries whose
@@ -22,6 +22,7 @@ other columns of the input are ignored. Sets are named by 64-bit hashes.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +34,8 @@ from textloom.llm.components import components
 
 #: Similarity of at least NUM / DEN.
 NUM, DEN = 4, 5
+#: Permutations under which sets are held against the first set with the same least hash.
+STARS = 3
 _U = np.uint64
 BROADCAST_BYTES = 32 << 20
 
@@ -87,7 +90,7 @@ def hot_shingles(documents: DataFrame, text: str, n: int, least: int = 16, max_h
         for batch in batches:
             for _, _, _, found, _ in sets(batch.column(0), n):
                 seen.append(found)
-                if sum(map(len, seen)) > 1 << 22:
+                if sum(map(len, seen)) > 1 << 20:
                     yield often()
         if seen:
             yield often()
@@ -108,29 +111,31 @@ def ordered(bounds: np.ndarray, found: np.ndarray, hot: np.ndarray) -> np.ndarra
 
 
 def describe(documents: DataFrame, key: str, text: str, n: int, hot: np.ndarray) -> DataFrame:
-    """A written table of (rid, key, size, name, m1, m2, prefix) per document; ``prefix`` holds the size, then the first shingles in order."""
+    """A written table of (rid, key, size, name, m0, m1, ..., prefix) per document; ``prefix`` holds the size, then the first shingles in order."""
     rows = documents.select(F.col(key).alias("key"), F.col(text).alias("text"))
     kind = rows.schema["key"].dataType.simpleString()
+    stars = [f"m{k}" for k in range(STARS)]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, bounds, found, size in sets(batch.column(1), n):
                 name = names(bounds, found)
                 some = size > 0
-                least = [np.zeros(hi - lo, _U), np.zeros(hi - lo, _U)]
+                least = [np.zeros(hi - lo, _U) for _ in range(STARS)]
                 if some.any():
                     starts = bounds[:-1][some]
                     least[0][some] = found[starts]
-                    least[1][some] = np.minimum.reduceat(mix(found + _U(77)), starts)
+                    for k in range(1, STARS):
+                        least[k][some] = np.minimum.reduceat(mix(found + _U(77 * k)), starts)
                 # Size classes by steps of a quarter: alike sets are in one class or in two next to each other.
                 grade = np.floor(np.log(np.maximum(size, 1)) / np.log(1.25)).astype(_U)
                 buckets = [mix(x ^ (grade + _U(k << 32))).view(np.int64) for k, x in enumerate(least)]
                 key, keep = ordered(bounds, found, hot), np.where(some, prefix_length(size), 0)
                 prefix = [size[i].astype(np.int64).tobytes() + key[b : b + k].tobytes() for i, (b, k) in enumerate(zip(bounds[:-1].tolist(), keep.tolist(), strict=True))]
                 columns = [batch.column(0).slice(lo, hi - lo), pa.array(size), pa.array(name.view(np.int64)), *map(pa.array, buckets), pa.array(prefix, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, ["key", "size", "name", "m1", "m2", "prefix"])
+                yield pa.RecordBatch.from_arrays(columns, ["key", "size", "name", *stars, "prefix"])
 
-    schema = f"key {kind}, size long, name long, m1 long, m2 long, prefix binary"
+    schema = f"key {kind}, size long, name long, {', '.join(f'{m} long' for m in stars)}, prefix binary"
     return written(rows.mapInArrow(work, schema).withColumn("rid", F.monotonically_increasing_id()), "sets")
 
 
@@ -227,15 +232,15 @@ def join(documents: DataFrame, key: str = "doc_id", text: str = "text", n: int =
     docs = describe(documents, key, text, n, hot_shingles(documents, text, n))
     full = docs.filter("size > 0")
     reps = full.groupBy("name").agg(F.min("rid").alias("rid"))
-    reps = written(full.select("rid", "key", "name", "size", "m1", "m2").join(reps.select("rid"), "rid"), "reps")
+    reps = written(full.drop("prefix").join(reps.select("rid"), "rid"), "reps")
     wanted = reps.select("key", "name")
 
     stars = []
-    for m in ("m1", "m2"):
-        leader = reps.groupBy(m).agg(F.min("name").alias("b"), F.count(F.lit(1)).alias("n")).filter("n > 1").select(m, "b")
+    for m in (f"m{k}" for k in range(STARS)):
+        leader = reps.groupBy(m).agg(F.min_by("name", "rid").alias("b"), F.count(F.lit(1)).alias("n")).filter("n > 1").select(m, "b")
         stars.append(reps.select(F.col("name").alias("a"), m).join(leader, m).filter("a != b").select("a", "b"))
     prefixes = docs.join(small_side(reps.select("rid"), 32), "rid", "left_semi").select("name", F.col("prefix").alias("members"))
-    stars = paired(written(stars[0].unionByName(stars[1]).distinct(), "stars"), prefixes, maybe_alike)
+    stars = paired(written(reduce(DataFrame.unionByName, stars).distinct(), "stars"), prefixes, maybe_alike)
     near = verified(documents, key, text, n, wanted, written(stars, "stars"))
     part = components(near)
 
