@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.llm import decontamination, line_dedup, ngram_join, packing, quality_classifier
-from textloom.llm.common import written
+from textloom.llm.common import small_batches, written
 from textloom.llm.queries import tokenizer_path
 
 
@@ -22,27 +22,32 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the nine tenths that look most like the labelled good documents; texts without words go."""
+    small_batches(spark)
     return quality_classifier.sample(docs, _table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id"))
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Delete aligned common blocks from later documents; documents that lose all their text go."""
+    small_batches(spark)
     kept = line_dedup.dedup(docs, drop_emptied=True)
     return kept.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in kept.columns else kept
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays, the one with the smallest id."""
+    small_batches(spark)
     return ngram_join.firsts(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold ten words in a row of the benchmark, or a shorter item whole, go."""
+    small_batches(spark)
     return decontamination.clean(docs, _table(spark, sf_dir, "benchmark"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces and their places in sequences of 1024 tokens."""
+    small_batches(spark)
     return packing.pack(docs, tokenizer_path())
 
 

@@ -34,6 +34,11 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Let Spark pass at most a thousand rows at a time to Python tasks of this session: texts are long, and vectors for ten thousand of them take hundreds of megabytes beside the heap."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back: lineage is cut, and lost executors lose nothing of it."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"

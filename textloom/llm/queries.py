@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.llm import decontamination, line_dedup, ngram_join, packing, quality_classifier, quality_rules, suffix_dedup, toxicity, url_filters, warc
+from textloom.llm.common import small_batches
 from textloom.registry import Registry
 
 REGISTRY = Registry()
@@ -13,6 +14,7 @@ query = REGISTRY.query
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
