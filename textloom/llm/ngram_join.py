@@ -2,7 +2,7 @@
 
 1. Sets. Every text becomes the set of its shingles' 64-bit hashes. Equal sets are one: only the first row of each takes part further.
 2. Highly similar sets. Sets that agree in the least hash under one of three permutations, and in size class, are compared with
-   the first of them in the table, copies mostly coming after their original. A set found alike is in its component; its other answers within the component follow from that and are
+   the one of the least key, copies mostly coming after their original. A set found alike is in its component; its other answers within the component follow from that and are
    never computed.
 3. Index lists by position. All sets share one order of shingles: by hash, but very frequent ones last. Alike sets share a
    shingle among their first (1 - t) * n + 1, and a shingle at position i leaves room for n - i shared ones. So list entries whose
@@ -237,7 +237,7 @@ def join(documents: DataFrame, key: str = "doc_id", text: str = "text", n: int =
 
     stars = []
     for m in (f"m{k}" for k in range(STARS)):
-        leader = reps.groupBy(m).agg(F.min_by("name", "rid").alias("b"), F.count(F.lit(1)).alias("n")).filter("n > 1").select(m, "b")
+        leader = reps.groupBy(m).agg(F.min_by("name", F.struct("key", "rid")).alias("b"), F.count(F.lit(1)).alias("n")).filter("n > 1").select(m, "b")
         stars.append(reps.select(F.col("name").alias("a"), m).join(leader, m).filter("a != b").select("a", "b"))
     prefixes = docs.join(small_side(reps.select("rid"), 32), "rid", "left_semi").select("name", F.col("prefix").alias("members"))
     stars = paired(written(reduce(DataFrame.unionByName, stars).distinct(), "stars"), prefixes, maybe_alike)
