@@ -2,7 +2,7 @@
 
 1. Sets. Every text becomes the set of its shingles' 64-bit hashes. Equal sets are one: only the first row of each takes part further.
 2. Highly similar sets. Sets that agree in the least hash under one of three permutations, and in size class, are compared with
-   the one of the least key, copies mostly coming after their original. A set found alike is in its component; its other answers within the component follow from that and are
+   the one whose least key, over all rows with that set, is least, copies mostly coming after their original. A set found alike is in its component; its other answers within the component follow from that and are
    never computed.
 3. Index lists by position. All sets share one order of shingles: by hash, but very frequent ones last. Alike sets share a
    shingle among their first (1 - t) * n + 1, and a shingle at position i leaves room for n - i shared ones. So list entries whose
@@ -127,9 +127,9 @@ def describe(documents: DataFrame, key: str, text: str, n: int, hot: np.ndarray)
                     least[0][some] = found[starts]
                     for k in range(1, STARS):
                         least[k][some] = np.minimum.reduceat(mix(found + _U(77 * k)), starts)
-                # Size classes by steps of a quarter: alike sets are in one class or in two next to each other.
-                grade = np.floor(np.log(np.maximum(size, 1)) / np.log(1.25)).astype(_U)
-                buckets = [mix(x ^ (grade + _U(k << 32))).view(np.int64) for k, x in enumerate(least)]
+                # Size classes by steps of a quarter. Their bounds differ by permutation, so that a group that one bound cuts is whole under others.
+                grade = np.log(np.maximum(size, 1)) / np.log(1.25)
+                buckets = [mix(x ^ (np.floor(grade + k / STARS).astype(_U) + _U(k << 32))).view(np.int64) for k, x in enumerate(least)]
                 key, keep = ordered(bounds, found, hot), np.where(some, prefix_length(size), 0)
                 prefix = [size[i].astype(np.int64).tobytes() + key[b : b + k].tobytes() for i, (b, k) in enumerate(zip(bounds[:-1].tolist(), keep.tolist(), strict=True))]
                 columns = [batch.column(0).slice(lo, hi - lo), pa.array(size), pa.array(name.view(np.int64)), *map(pa.array, buckets), pa.array(prefix, pa.binary())]
@@ -231,13 +231,13 @@ def join(documents: DataFrame, key: str = "doc_id", text: str = "text", n: int =
     """(key, n_shingles, component_id, n_links) per document; links are those that were verified, which join all that is alike."""
     docs = describe(documents, key, text, n, hot_shingles(documents, text, n))
     full = docs.filter("size > 0")
-    reps = full.groupBy("name").agg(F.min("rid").alias("rid"))
-    reps = written(full.drop("prefix").join(reps.select("rid"), "rid"), "reps")
+    reps = full.groupBy("name").agg(F.min("rid").alias("rid"), F.min("key").alias("first"))
+    reps = written(full.drop("prefix", "name").join(reps, "rid"), "reps")
     wanted = reps.select("key", "name")
 
     stars = []
     for m in (f"m{k}" for k in range(STARS)):
-        leader = reps.groupBy(m).agg(F.min_by("name", F.struct("key", "rid")).alias("b"), F.count(F.lit(1)).alias("n")).filter("n > 1").select(m, "b")
+        leader = reps.groupBy(m).agg(F.min_by("name", F.struct("first", "rid")).alias("b"), F.count(F.lit(1)).alias("n")).filter("n > 1").select(m, "b")
         stars.append(reps.select(F.col("name").alias("a"), m).join(leader, m).filter("a != b").select("a", "b"))
     prefixes = docs.join(small_side(reps.select("rid"), 32), "rid", "left_semi").select("name", F.col("prefix").alias("members"))
     stars = paired(written(reduce(DataFrame.unionByName, stars).distinct(), "stars"), prefixes, maybe_alike)
