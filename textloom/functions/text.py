@@ -63,3 +63,17 @@ def strip_html(text: Column) -> Column:
     for entity, char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
         bare = F.replace(bare, F.lit(entity), F.lit(char))
     return F.trim(F.regexp_replace(bare, r"\s+", " "))
+
+
+def repair(text: Column) -> Column:
+    """Undo one reading of UTF-8 as Latin-1, where the text holds its marks, fits in Latin-1, and is valid UTF-8 once undone; else the text as it is."""
+    undone = F.try_validate_utf8(F.encode(text, "ISO-8859-1").cast("string"))
+    return F.when(text.rlike("[\u00c2\u00c3]") & text.rlike("^[\\x00-\\xff]*$"), F.coalesce(undone, text)).otherwise(text)
+
+
+def canonical(names: Column, aliases: dict[str, str], default: str, most: int = 4) -> Column:
+    """struct(themes, rest): the first ``most`` distinct themes that ``aliases`` gives for the names, in order, ``default`` if none; and the distinct names without one."""
+    table = F.create_map(*[F.lit(x) for pair in aliases.items() for x in pair])
+    known = F.array_distinct(F.filter(F.transform(names, lambda x: F.try_element_at(table, x)), lambda x: x.isNotNull()))
+    rest = F.array_distinct(F.filter(names, lambda x: x.isNotNull() & F.try_element_at(table, x).isNull()))
+    return F.struct(F.when(F.size(known) > 0, F.slice(known, 1, most)).otherwise(F.array(F.lit(default))).alias("themes"), rest.alias("rest"))

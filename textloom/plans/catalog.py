@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from textloom.plans import curation, ordered, retrieval, texts
+from textloom.plans import curation, ordered, parsing, retrieval, texts
 from textloom.plans.base import REGISTRY
 
-__all__ = ["REGISTRY", "curation", "ordered", "retrieval", "texts"]
+__all__ = ["REGISTRY", "curation", "ordered", "parsing", "retrieval", "texts"]
