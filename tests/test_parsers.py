@@ -38,3 +38,22 @@ def test_canonical(spark):
     df = spark.createDataFrame(rows, "i int, n array<string>")
     got = [(r.c.themes, r.c.rest) for r in df.select("i", T.canonical(F.col("n"), {"a": "A", "b": "B"}, "D").alias("c")).orderBy("i").collect()]
     assert got == [(["B", "A"], ["x"]), (["D"], []), (["D"], ["x"])]
+
+
+def test_dossiers(spark):
+    head, block = '{"record_type":"header","columns":["a","b"]}', '{"record_type":"transcript_block","value":[["1"],["2","x","y"]]}'
+    foot = '{"record_type":"footer","count":2,"checksum":%d}'
+    import zlib
+
+    total = zlib.crc32(f"0:{head}".encode()) + zlib.crc32(f"1:{block}".encode())
+    rows = [(k, i, x) for k, lines in {1: [head, block, foot % total], 2: [head, block, foot % 7], 3: [head, foot % 7], 4: [block], 5: [head, block], 6: ["{", None]}.items() for i, x in enumerate(lines)]
+    states, found = parsers.dossiers(spark.createDataFrame(rows, "k int, n int, line string"), "k", "n", "line")
+    assert sorted(map(tuple, states.collect())) == [(1, "ok"), (2, "checksum"), (3, "count"), (4, "no_header"), (5, "no_footer"), (6, "no_header")]
+    assert sorted((r.row["a"], r.row["b"]) for r in found.filter("k = 1").collect()) == [("1", None), ("2", "x")]
+
+
+def test_without_sections(spark):
+    rows = ["", None, "## Drop me!\nx\n", "t\n## keep\ny ins-1\n## DROP  me\nz", "## drop me"]
+    df = spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "i int, t string")
+    got = [r.t for r in df.select("i", parsers.without_sections(F.col("t"), ["drop me"], "ins-[0-9]").alias("t")).orderBy("i").collect()]
+    assert got == ["", None, "", "t\n## keep\ny [source-ref]", ""]

@@ -82,3 +82,26 @@ SELECT doc_id, themes, concat_ws('|', CASE WHEN odd THEN lang END, CASE WHEN odd
 def canonical_themes(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", T.canonical(F.array("lang", "source", "lang"), THEMES, "other").alias("c"))
     return docs.select("doc_id", F.array_join("c.themes", "|").alias("themes"), F.array_join("c.rest", "|").alias("rest"))
+
+
+@query("dossier_rows", """
+SELECT conv_id, 'ok' AS state, CAST(turn AS VARCHAR) AS clean_index, role FROM conversations
+""", "SRC04")
+def dossier_rows(spark, sf_dir):
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role")
+    block = F.to_json(F.struct(F.lit("transcript_block").alias("record_type"), F.array(F.array(F.col("turn").cast("string"), "role")).alias("value")))
+    head = turns.select("conv_id").distinct().select("conv_id", F.lit(-1).alias("number"), F.lit('{"record_type":"header","columns":["clean_index","role"]}').alias("line"))
+    body = head.unionByName(turns.select("conv_id", F.col("turn").alias("number"), block.alias("line")))
+    sums = body.groupBy("conv_id").agg(F.max("number").alias("top"), F.count(F.lit(1)).alias("count"), parsers.dossier_checksum(F.col("number"), F.col("line")).alias("checksum"))
+    foot = sums.select("conv_id", (F.col("top") + 1).alias("number"), F.to_json(F.struct(F.lit("footer").alias("record_type"), "count", "checksum")).alias("line"))
+    states, rows = parsers.dossiers(body.unionByName(foot), "conv_id", "number", "line")
+    return rows.join(states, "conv_id").select("conv_id", "state", F.col("row")["clean_index"].alias("clean_index"), F.col("row")["role"].alias("role"))
+
+
+@query("blinded_text", r"""
+SELECT item_id, 'a [source-ref]' || chr(10) || '## Kept' || chr(10) || trim(text, ' ' || chr(10) || chr(9)) AS blinded FROM benchmark WHERE text IS NOT NULL AND NOT regexp_matches(text, '## |ins-[0-9]') AND length(trim(text)) > 0
+""", "F23")
+def blinded_text(spark, sf_dir):
+    items = table(spark, sf_dir, "benchmark").filter("text IS NOT NULL AND NOT text RLIKE '## |ins-[0-9]' AND length(trim(text)) > 0")
+    markdown = F.concat(F.lit("a ins-12\n## Source  Trace:\nx\n### y\n## Kept\n"), F.regexp_replace("text", r"^\s+|\s+$", ""), F.lit("\n## Evidence\nz"))
+    return items.select("item_id", parsers.without_sections(markdown, ["source trace", "evidence"], "ins-[0-9]+").alias("blinded"))
