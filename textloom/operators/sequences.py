@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -80,3 +80,45 @@ def greedy_chunks(rows: DataFrame, by: str, order: str, length: str, max_chars:
         return group.assign(chunk=pd.Series(out, index=group.index, dtype="int32"))
 
     return rows.groupBy(by).applyInPandas(walk, schema)
+
+
+def units(rows: DataFrame, by: str, order: str, *, start: str, duration: str, chars: str, opens: str, topics: str, roles: str, max_rows: int = 6, max_chars: int = 900, max_gap: float = 6.0) -> DataFrame:
+    """``unit`` per row, counted from 1 within the key. ``topics`` and ``roles`` are bit sets of cues, ``opens`` says that a row opens a new thought.
+
+    A unit ends before a row that would make it too long in rows or characters, that starts too long after the row before ended, that brings a role
+    which the unit hasn't, or that opens a new thought on cues, roles included, of which a unit of two rows and more has others only.
+    Gaps are found by window functions first, so that only the rows between two gaps pass through one ordered walk.
+    """
+    key = Window.partitionBy(by).orderBy(order)
+    gap = F.col(start) - F.lag(F.col(start) + F.col(duration)).over(key) > max_gap
+    stretched = rows.withColumn("_stretch", F.sum(F.coalesce(gap, F.lit(False)).cast("int")).over(key.rowsBetween(Window.unboundedPreceding, 0)))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stretched.schema) + ", _begins int"
+
+    def walk(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values(order, kind="stable")
+        n = used = topic = role = 0
+        begins = []
+        for length, opening, t, r in zip(*(group[c].fillna(0) for c in (chars, opens, topics, roles)), strict=True):
+            cues, had = int(t) | int(r) << 32, topic | role << 32
+            turned = n >= 2 and opening and cues and had and not cues & had
+            new = not n or n >= max_rows or used + length > max_chars or turned or (r and r != role)
+            if new:
+                n = used = topic = role = 0
+            n, used, topic, role = n + 1, used + length, topic | int(t), role | int(r)
+            begins.append(int(bool(new)))
+        return group.assign(_begins=pd.Series(begins, index=group.index, dtype="int32"))
+
+    walked = stretched.groupBy(by, "_stretch").applyInPandas(walk, schema)
+    return walked.withColumn("unit", F.sum("_begins").over(key.rowsBetween(Window.unboundedPreceding, 0))).drop("_stretch", "_begins")
+
+
+def refreshed(previous: DataFrame, source: DataFrame, key: str, version: str, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The derived table anew: what ``build`` makes of ``source`` with (stamp, version, reused), built only for keys whose source or version changed.
+
+    A key's stamp is a sum of row hashes, so order doesn't count; keys that left the source go. ``previous`` has the columns of the result.
+    """
+    stamps = source.groupBy(key).agg(F.sum(F.xxhash64(*sorted(source.columns)).cast("decimal(38,0)")).cast("string").alias("stamp"))
+    kept = previous.filter(F.col("version") == version).join(stamps, [key, "stamp"], "left_semi").withColumn("reused", F.lit(True))
+    stale = stamps.join(kept.select(key, "stamp").distinct(), [key, "stamp"], "left_anti")
+    built = build(source.join(stale.select(key), key, "left_semi")).join(stale, key).withColumns({"version": F.lit(version), "reused": F.lit(False)})
+    return built.unionByName(kept.select(*built.columns))

@@ -242,3 +242,49 @@ def vector_neighbours(spark, sf_dir):
     dot = F.aggregate(F.zip_with("e", "embedding", lambda a, b: a.cast("double") * b.cast("double")), F.lit(0.0), lambda acc, x: acc + x)
     scored = vectors.join(wanted, F.col("q") != F.col("vec_id")).select("q", "vec_id", F.round(dot, 5).alias("dot"))
     return scored.withColumn("rn", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("dot"), "vec_id"))).filter("rn <= 5").drop("rn")
+
+
+UNIT_ROWS = """
+n AS (SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS i, length(text) AS len, CAST(turn * 10 AS DOUBLE) AS start, CASE WHEN turn % 7 = 6 THEN 2.0 ELSE 9.0 END AS dur,
+  length(text) % 3 = 0 AS opens, CASE WHEN length(text) % 2 = 0 THEN 1 ELSE 2 END AS topics, CASE WHEN role = 'system' THEN 1 ELSE 0 END AS roles FROM conversations)
+"""
+
+
+@query("semantic_units", f"""
+WITH RECURSIVE {UNIT_ROWS},
+r AS (SELECT conv_id, turn, i, 1 AS unit, 1 AS rows, len AS used, topics, roles, start + dur AS done FROM n WHERE i = 1
+      UNION ALL SELECT conv_id, turn, i, CASE WHEN new THEN unit + 1 ELSE unit END, CASE WHEN new THEN 1 ELSE rows + 1 END, CASE WHEN new THEN len ELSE used + len END,
+        CASE WHEN new THEN t ELSE topics | t END, CASE WHEN new THEN o ELSE roles | o END, done
+      FROM (SELECT n.conv_id, n.turn, n.i, r.unit, r.rows, r.used, n.len, r.topics, r.roles, n.topics AS t, n.roles AS o, n.start + n.dur AS done,
+        r.rows >= 6 OR r.used + n.len > 900 OR n.start - r.done > 6 OR (n.roles > 0 AND n.roles <> r.roles) OR (r.rows >= 2 AND n.opens AND (r.topics & n.topics) = 0 AND (r.roles & n.roles) = 0) AS new
+        FROM r JOIN n ON n.conv_id = r.conv_id AND n.i = r.i + 1)),
+u AS (SELECT conv_id, unit, min(turn) AS lo, max(turn) AS hi, count(*) AS n_rows FROM r GROUP BY ALL)
+SELECT conv_id, CAST(unit AS BIGINT) AS unit, lo, hi, n_rows, lag(lo) OVER (PARTITION BY conv_id ORDER BY unit) AS before, lead(lo) OVER (PARTITION BY conv_id ORDER BY unit) AS after FROM u
+""", "W09")
+def semantic_units(spark, sf_dir):
+    return _linked_units(_unit_rows(_turns(spark, sf_dir)))
+
+
+def _unit_rows(turns):
+    n = F.length("text")
+    return turns.select(
+        "conv_id", "turn", n.alias("len"), (F.col("turn") * 10).cast("double").alias("start"), F.when(F.col("turn") % 7 == 6, 2.0).otherwise(9.0).alias("dur"),
+        (n % 3 == 0).alias("opens"), F.when(n % 2 == 0, 1).otherwise(2).alias("topics"), (F.col("role") == "system").cast("int").alias("roles"),
+    )
+
+
+def _linked_units(rows):
+    found = sequences.units(rows, "conv_id", "turn", start="start", duration="dur", chars="len", opens="opens", topics="topics", roles="roles")
+    spans = found.groupBy("conv_id", "unit").agg(F.min("turn").alias("lo"), F.max("turn").alias("hi"), F.count(F.lit(1)).alias("n_rows"))
+    w = Window.partitionBy("conv_id").orderBy("unit")
+    return spans.withColumns({"before": F.lag("lo").over(w), "after": F.lead("lo").over(w)})
+
+
+@query("units_refresh", """
+WITH c AS (SELECT conv_id, max(turn) AS top, count(*) AS n FROM conversations GROUP BY 1) SELECT conv_id, top < 4 AS reused, n AS n_rows FROM c
+""", "T04")
+def units_refresh(spark, sf_dir):
+    turns = _turns(spark, sf_dir)
+    none = _linked_units(_unit_rows(turns.limit(0))).withColumns({"stamp": F.lit(""), "version": F.lit(""), "reused": F.lit(False)})
+    first = sequences.refreshed(none, _unit_rows(turns.filter("turn < 4")), "conv_id", "1", _linked_units)
+    return sequences.refreshed(first, _unit_rows(turns), "conv_id", "1", _linked_units).groupBy("conv_id", "reused").agg(F.sum("n_rows").alias("n_rows"))
