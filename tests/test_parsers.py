@@ -57,3 +57,11 @@ def test_without_sections(spark):
     df = spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "i int, t string")
     got = [r.t for r in df.select("i", parsers.without_sections(F.col("t"), ["drop me"], "ins-[0-9]").alias("t")).orderBy("i").collect()]
     assert got == ["", None, "", "t\n## keep\ny [source-ref]", ""]
+
+
+def test_artefacts(spark):
+    rows = ["vid?o", "ok? Yes", "what?", "a??b �", "", None, "Edio, vocs_"]
+    df = spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "i int, t string")
+    got = [([tuple(x) for x in r.c], r.b) for r in df.select("i", T.artefact_contexts(F.col("t"), 2).alias("c"), T.broken_words(F.col("t")).alias("b")).orderBy("i").collect()]
+    orphan, lost = "orphan_question_mark", "replacement_character"
+    assert got == [([(orphan, "vid?o")], []), ([], []), ([], []), ([(orphan, "a??b �"), (lost, "b �")], []), ([], []), ([], []), ([], ["edio"])]

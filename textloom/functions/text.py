@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -77,3 +81,26 @@ def canonical(names: Column, aliases: dict[str, str], default: str, most: int =
     known = F.array_distinct(F.filter(F.transform(names, lambda x: F.try_element_at(table, x)), lambda x: x.isNotNull()))
     rest = F.array_distinct(F.filter(names, lambda x: x.isNotNull() & F.try_element_at(table, x).isNull()))
     return F.struct(F.when(F.size(known) > 0, F.slice(known, 1, most)).otherwise(F.array(F.lit(default))).alias("themes"), rest.alias("rest"))
+
+
+# Words that lost their accented letters, and the pattern of a question mark where a letter was.
+BROKEN_WORDS = ("anotaes", "cdigo", "comeou", "contedo", "contm", "difcil", "edio", "fcil", "histrias", "lanamento", "mtodo", "negcio", "nvel", "possvel", "seleo", "variaao", "varivel", "vdeo", "vocs")
+ORPHAN_MARK = r"[A-Za-z]\?+[a-z]|[A-Za-z]\?+(?![\\\s\"'\)\]\.,;:!A-Z]|$)"
+
+
+def broken_words(text: Column) -> Column:
+    """The distinct ``BROKEN_WORDS`` that stand as whole words in the text, in lower case and sorted; none for null."""
+    words = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(r"[\p{L}\p{N}_]+"), F.lit(0))
+    return F.array_sort(F.array_intersect(words, F.array(*map(F.lit, BROKEN_WORDS))))
+
+
+def artefact_contexts(text: Column, window: int = 40) -> Column:
+    """struct(kind, excerpt) of each orphan question mark, then of each replacement character, with ``window`` characters on both sides and single spaces. Contexts may overlap, which extraction by patterns can't give, so this runs in Arrow batches."""
+    kinds = (("orphan_question_mark", re.compile(ORPHAN_MARK, re.ASCII)), ("replacement_character", re.compile("\ufffd")))
+
+    @F.pandas_udf("array<struct<kind string, excerpt string>>")
+    def find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            yield batch.fillna("").map(lambda x: [{"kind": k, "excerpt": " ".join(x[max(m.start() - window, 0) : m.end() + window].split())} for k, p in kinds for m in p.finditer(x)])
+
+    return find(text)

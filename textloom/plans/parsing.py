@@ -105,3 +105,23 @@ def blinded_text(spark, sf_dir):
     items = table(spark, sf_dir, "benchmark").filter("text IS NOT NULL AND NOT text RLIKE '## |ins-[0-9]' AND length(trim(text)) > 0")
     markdown = F.concat(F.lit("a ins-12\n## Source  Trace:\nx\n### y\n## Kept\n"), F.regexp_replace("text", r"^\s+|\s+$", ""), F.lit("\n## Evidence\nz"))
     return items.select("item_id", parsers.without_sections(markdown, ["source trace", "evidence"], "ins-[0-9]+").alias("blinded"))
+
+
+@query("broken_words", f"""
+SELECT doc_id, array_to_string(list_sort(list_filter(list_distinct(regexp_extract_all(lower(text || ' Vdeo, xedio nvel vdeo'), '[\\p{{L}}\\p{{N}}_]+')), lambda x: x IN {T.BROKEN_WORDS})), '|') AS broken FROM documents WHERE text IS NOT NULL
+""", "F20")
+def broken_words(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").filter("text IS NOT NULL")
+    return docs.select("doc_id", F.array_join(T.broken_words(F.concat("text", F.lit(" Vdeo, xedio nvel vdeo"))), "|").alias("broken"))
+
+
+@query("artefact_contexts", """
+WITH a AS (SELECT item_id, replace(replace(text, '?', ''), chr(65533), '') AS a FROM benchmark WHERE text IS NOT NULL), t AS (SELECT item_id, length(a) AS n, a || ' vid?o ' || a || chr(65533) AS t FROM a),
+c AS (SELECT item_id, 'orphan_question_mark' AS kind, substr(t, greatest(n + 3 - 40, 0) + 1, n + 46 - greatest(n + 3 - 40, 0)) AS x FROM t UNION ALL SELECT item_id, 'replacement_character', substr(t, greatest(length(t) - 41, 0) + 1) FROM t)
+SELECT item_id, kind, trim(regexp_replace(x, '\\s+', ' ', 'g')) AS excerpt FROM c
+""", "F21")
+def artefact_contexts(spark, sf_dir):
+    plain = F.replace(F.replace("text", F.lit("?"), F.lit("")), F.lit("�"), F.lit(""))
+    items = table(spark, sf_dir, "benchmark").filter("text IS NOT NULL")
+    found = items.select("item_id", F.explode(T.artefact_contexts(F.concat(plain, F.lit(" vid?o "), plain, F.lit("�")))).alias("c"))
+    return found.select("item_id", "c.kind", "c.excerpt")
