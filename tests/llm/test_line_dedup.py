@@ -77,3 +77,19 @@ def test_table(spark):
     got = line_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted((r.doc_id, r.text) for r in got) == sorted(brute(rows))
     assert queries.op4_line_dedup(spark, SF).filter("n_removed_lines > 0").count() == sum(a != b for a, b in zip(rows, brute(rows), strict=True))
+
+
+def test_frequent_lines_lead_to_their_first(spark):
+    passage = "a passage that more than twenty documents hold\nand its second line, as frequent as the first"
+    quote = "a quote that only two documents share with each other"
+    rows = [(i, f"{passage}\nown text of number {i}") for i in range(30)] + [(50, quote), (60, f"{quote}\n{passage}\nown text of number 60")]
+    got = dict(run(spark, rows))
+    assert got[0] == rows[0][1] and got[60] == "own text of number 60"
+    assert sorted(got.items()) == sorted(brute(rows, rare=len(rows)))
+
+
+def test_table_by_every_shared_line(spark):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
+    want = brute(rows, rare=len(rows))
+    assert run(spark, rows) == sorted(want, key=repr)
+    assert queries.op4_line_dedup(spark, SF).filter("n_removed_lines > 0").count() == sum(a != b for a, b in zip(rows, want, strict=True))
