@@ -76,6 +76,19 @@ def test_urls(spark):
     assert url_filters.judge(df.limit(0), rule).collect() == []
 
 
+def test_blocked_targets_that_are_no_pages(spark):
+    link = '<link rel="canonical" href="{}">'
+    rows = [
+        (1, "http://free.io/a", link.format("//bad.net/x")), (2, "http://c.io/b", link.format("https://BAD.net/x#f")), (3, "http://d.io/", link.format("http://c.io/b")),
+        (4, "http://x.org/fr/1", link.format("http://bad.net/x")), (5, "http://e.io/", '<meta http-equiv="refresh" content="0; url=http://example.com/de/1?q=2">'),
+        (6, "http://f.io/", link.format("http://example.com/fr?x=/de/")), (7, "http://g.io/", link.format("http://example.net/en/3")), (8, "http://h.io/", link.format("http://bad.net?/y")),
+    ]
+    rule = url_filters.decode_rules(["net/", "example.com/de/"], ["example.net/en/", "org/fr/"])
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.verdict for r in url_filters.judge(df, rule).collect()}
+    assert got == {1: "block", 2: "block", 3: "block", 4: "allow", 5: "block", 6: "allow", 7: "allow", 8: "allow"}
+
+
 def test_components(spark):
     import random
 

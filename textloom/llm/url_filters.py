@@ -91,8 +91,9 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str]], key: str = "page_i
     name, decision = best_rule(F.col("host"), F.col("path"), rules)
     own = own.select("*", name.alias("rule"), decision.alias("own"), node(F.col("url")).alias("node"))
     linked = components(page_edges(pages, url, html))
-    marks = own.filter("own = 'block'").select("node").distinct().unionByName(linked.limit(0).select("node"))
-    blocked = linked.join(marks, "node", "left_semi").select("root").distinct()
+    # A node's name starts with its host, so the rules apply to link targets whether or not they are pages themselves.
+    named = F.concat(F.lit("://"), F.col("node"))
+    blocked = linked.filter(best_rule(url_host(named), url_path(named), rules)[1] == "block").select("root").distinct()
     aliases = linked.join(blocked, "root", "left_semi").select("node", F.lit(True).alias("alias_blocked"))
     told = own.join(aliases, "node", "left")
     return told.select(F.col("key").alias(key), "host", "path", "rule", F.coalesce("own", F.when(F.col("alias_blocked"), "block").otherwise("allow")).alias("verdict"))
