@@ -80,3 +80,22 @@ def test_firsts(spark):
 def test_table(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in queries.op3_ngram_join(spark, SF).collect()) == sorted(brute(rows))
+
+
+def brute_links(rows):
+    """(key, other different sets that are alike) of each row."""
+    sets = [frozenset(shingles(t)) for _, t in rows]
+    found = {s: sum(s != o and 100 * len(s & o) >= 80 * len(s | o) for o in set(sets) - {frozenset()}) for s in set(sets)}
+    return sorted(((k, found[s]) for (k, _), s in zip(rows, sets, strict=True)), key=repr)
+
+
+def test_links_within_components(spark):
+    rnd = random.Random(6)
+    base = [[f"v{b}x{i}" for i in range(100)] for b in range(6)]
+    rows = [(1, " ".join(base[0])), (2, " ".join(base[0][:-1])), (3, " ".join(base[0][:-2])), (4, " ".join(base[0]))]
+    rows += [(10 + i, " ".join(edited(rnd, base[1 + i % 5], i % 4))) for i in range(150)] + [(900, None), (901, "short one")]
+    rnd.shuffle(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r.doc_id, r.n_links) for r in ngram_join.join(df).collect()), key=repr)
+    assert [n for k, n in got if k in (1, 2, 3, 4)] == [2, 2, 2, 2]
+    assert got == brute_links(rows)

@@ -2,13 +2,17 @@
 
 1. Sets. Every text becomes the set of its shingles' 64-bit hashes. Equal sets are one: only the first row of each takes part further.
 2. Highly similar sets. Sets that agree in the least hash under one of three permutations, and in size class, are compared with
-   the one whose least key, over all rows with that set, is least, copies mostly coming after their original. A set found alike is in its component; its other answers within the component follow from that and are
-   never computed.
-3. Index lists by position. All sets share one order of shingles: by hash, but very frequent ones last. Alike sets share a
+   the one whose least key, over all rows with that set, is least, copies mostly coming after their original. A set found alike belongs to
+   the star of one such leader.
+3. Answers within a star. Every two members are judged by how each differs from their leader, without their whole sets: with D the
+   shingles that one of leader and member lacks, members a and b share |leader| - |leader without a| - |leader without b| + |D(a) and D(b)|.
+4. Index lists by position. All sets share one order of shingles: by hash, but very frequent ones last. Alike sets share a
    shingle among their first (1 - t) * n + 1, and a shingle at position i leaves room for n - i shared ones. So list entries whose
-   size or position rules a link out are skipped, and so are those of one component. What is left is held against the first shingles of both
+   size or position rules a link out are skipped, and so are those of one star. What is left is held against the first shingles of both
    sets, which bound the overlap again, and then verified on the whole sets.
-4. Components of all links, by alternating star steps.
+5. Components of all links, by alternating star steps.
+
+Where components alone are asked for, step 3 is left out and step 4 skips the entries of one component, whose further links join nothing more.
 
 Which shingles are called frequent only orders the lists and can't change the result; they are counted in every task, summed over all and the most
 frequent ``max_hot`` broadcast (a size known beforehand). Whole sets are fetched for the texts of candidate pairs alone; their list is broadcast only if
@@ -139,8 +143,8 @@ def describe(documents: DataFrame, key: str, text: str, n: int, hot: np.ndarray)
     return written(rows.mapInArrow(work, schema).withColumn("rid", F.monotonically_increasing_id()), "sets")
 
 
-def verified(documents: DataFrame, key: str, text: str, n: int, wanted: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The (a, b) of ``pairs`` that are alike. ``wanted``: (key, name) of a document for each set."""
+def spelled(documents: DataFrame, key: str, text: str, n: int, wanted: DataFrame, pairs: DataFrame) -> DataFrame:
+    """A written table of (name, members) of the sets in ``pairs`` (a, b). ``wanted``: (key, name) of a document for each set."""
     needed = pairs.select(F.explode(F.array("a", "b")).alias("name")).distinct().join(wanted, "name").select("key", "name")
     needed = written(needed, "needed")
     rows = documents.select(F.col(key).alias("key"), F.col(text).alias("text"))
@@ -153,8 +157,8 @@ def verified(documents: DataFrame, key: str, text: str, n: int, wanted: DataFram
                 members = [found[a:b].tobytes() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(names(bounds, found).view(np.int64)), pa.array(members, pa.binary())], ["name", "members"])
 
-    spelled = texts.mapInArrow(spell, "name long, members binary").join(small_side(needed.select("name").distinct(), 48), "name", "left_semi")
-    return written(paired(pairs, written(spelled.dropDuplicates(["name"]), "spelled"), alike), "links")
+    found = texts.mapInArrow(spell, "name long, members binary").join(small_side(needed.select("name").distinct(), 48), "name", "left_semi")
+    return written(found.dropDuplicates(["name"]), "spelled")
 
 
 def paired(pairs: DataFrame, members: DataFrame, test: Callable[[pa.Array, pa.Array], pa.Array]) -> DataFrame:
@@ -193,6 +197,37 @@ def maybe_alike(a: pa.Array, b: pa.Array) -> pa.Array:
     return pa.array(out, pa.bool_())
 
 
+def differences(x: pa.Array, y: pa.Array) -> pa.Array:
+    """For each member x of the leader y: the leader's size, how many of its shingles the member lacks, and then the shingles that one of both lacks, sorted."""
+    out = []
+    for one, other in zip(x, y, strict=True):
+        p, q = np.frombuffer(one.as_buffer(), _U), np.frombuffer(other.as_buffer(), _U)
+        out.append(np.array([len(q), len(q) - _shared(p, q)]).astype(_U).tobytes() + np.setxor1d(p, q, assume_unique=True).tobytes())
+    return pa.array(out, pa.binary())
+
+
+def alike_by_differences(a: pa.Array, b: pa.Array) -> pa.Array:
+    """Whether two members of one star are alike, by their ``differences``."""
+    out = []
+    for x, y in zip(a, b, strict=True):
+        p, q = np.frombuffer(x.as_buffer(), _U), np.frombuffer(y.as_buffer(), _U)
+        leader, lack_p, lack_q, p, q = int(p[0]), int(p[1]), int(q[1]), p[2:], q[2:]
+        shared = leader - lack_p - lack_q + _shared(p, q)
+        union = 2 * leader + len(p) + len(q) - 2 * (lack_p + lack_q) - shared
+        out.append(shared * DEN >= NUM * union)
+    return pa.array(out, pa.bool_())
+
+
+def within_stars(star: DataFrame, members: DataFrame) -> DataFrame:
+    """(a, b), a < b: the members of one star that are alike. ``star``: (a, b) of one leader b for each member a, a pair that is alike."""
+    x = star.join(members, star["a"] == members["name"]).select("a", "b", F.col("members").alias("x"))
+    both = x.join(members, x["b"] == members["name"]).select("a", "b", "x", F.col("members").alias("y"))
+    each = written(both.select("b", "a", F.arrow_udf(differences, "binary")("x", "y").alias("d")), "differences")
+    x, y = each.select("b", F.col("a").alias("x_name"), F.col("d").alias("x")), each.select("b", F.col("a").alias("y_name"), F.col("d").alias("y"))
+    met = x.join(y, "b").filter("x_name < y_name").filter(F.arrow_udf(alike_by_differences, "boolean")(F.col("x"), F.col("y")))
+    return met.select(F.col("x_name").alias("a"), F.col("y_name").alias("b"))
+
+
 def entries(table: DataFrame) -> DataFrame:
     """(shingle, name, size, place, part) of each prefix shingle of the sets in ``table`` (name, part, prefix)."""
 
@@ -212,7 +247,7 @@ def entries(table: DataFrame) -> DataFrame:
 
 
 def candidates(index: DataFrame) -> DataFrame:
-    """(a, b): pairs of different components that neither sizes nor positions rule out."""
+    """(a, b): pairs of different parts that neither sizes nor positions rule out."""
     x = index.select("shingle", *[F.col(c).alias(f"x_{c}") for c in ("name", "size", "place", "part")])
     y = index.select("shingle", *[F.col(c).alias(f"y_{c}") for c in ("name", "size", "place", "part")])
     both = F.col("x_size").cast("long") + F.col("y_size")
@@ -227,8 +262,8 @@ def candidates(index: DataFrame) -> DataFrame:
     return met.select(F.col("x_name").alias("a"), F.col("y_name").alias("b")).distinct()
 
 
-def join(documents: DataFrame, key: str = "doc_id", text: str = "text", n: int = 5) -> DataFrame:
-    """(key, n_shingles, component_id, n_links) per document; links are those that were verified, which join all that is alike."""
+def join(documents: DataFrame, key: str = "doc_id", text: str = "text", n: int = 5, count_links: bool = True) -> DataFrame:
+    """(key, n_shingles, component_id, n_links) per document; ``n_links`` counts the other different sets that are alike, and is left out without ``count_links``."""
     docs = describe(documents, key, text, n, hot_shingles(documents, text, n))
     full = docs.filter("size > 0")
     reps = full.groupBy("name").agg(F.min("rid").alias("rid"), F.min("key").alias("first"))
@@ -241,33 +276,42 @@ def join(documents: DataFrame, key: str = "doc_id", text: str = "text", n: int =
         stars.append(reps.select(F.col("name").alias("a"), m).join(leader, m).filter("a != b").select("a", "b"))
     prefixes = docs.join(small_side(reps.select("rid"), 32), "rid", "left_semi").select("name", F.col("prefix").alias("members"))
     stars = paired(written(reduce(DataFrame.unionByName, stars).distinct(), "stars"), prefixes, maybe_alike)
-    near = verified(documents, key, text, n, wanted, written(stars, "stars"))
-    part = components(near)
+    stars = written(stars, "stars")
+    members = spelled(documents, key, text, n, wanted, stars)
+    near = written(paired(stars, members, alike), "near")
+    # A leader is in its own star if it is a member of no other; those that are in another leave only their members behind.
+    star = near.groupBy("a").agg(F.min("b").alias("b"))
+    part = star.select(F.col("a").alias("node"), F.col("b").alias("root")) if count_links else components(near)
 
     parts = reps.select("rid", "name").join(part.withColumnRenamed("node", "name"), "name", "left")
     parts = small_side(written(parts.select("rid", F.coalesce("root", "name").alias("part")), "parts"), 48)
     index = entries(docs.select("rid", "name", "prefix").join(parts, "rid"))
-    pairs = paired(written(candidates(index), "met"), prefixes, maybe_alike)
-    far = verified(documents, key, text, n, wanted, written(pairs, "pairs"))
+    pairs = written(paired(written(candidates(index), "met"), prefixes, maybe_alike), "pairs")
+    far = written(paired(pairs, spelled(documents, key, text, n, wanted, pairs), alike), "links")
 
     links = near.unionByName(far)
     roots = components(links)
-    degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("links"))
     placed = docs.select("rid", "key", "size", "name").join(roots.withColumnRenamed("node", "name"), "name", "left").withColumn("root", F.coalesce("root", "name"))
-    placed = placed.join(degree.withColumnRenamed("node", "name"), "name", "left")
+    if count_links:
+        # Leaders of other permutations can share a star with their members; those pairs are counted within the star.
+        apart = near.join(star.select("a", F.col("b").alias("x")), "a").join(star.select(F.col("a").alias("b"), F.col("b").alias("y")), "b", "left").filter("y IS NULL OR x != y")
+        across = apart.select("a", "b").unionByName(far).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        every = across.unionByName(within_stars(star, members))
+        degree = every.select(F.explode(F.array("a", "b")).alias("name")).groupBy("name").agg(F.count(F.lit(1)).alias("links"))
+        placed = placed.join(degree, "name", "left")
     least = placed.filter("size > 0").groupBy("root").agg(F.min("key").alias("least"))
     out = placed.join(least, "root", "left")
     return out.select(
         F.col("key").alias(key),
         F.col("size").alias("n_shingles"),
         F.when(F.col("size") > 0, F.col("least")).otherwise(F.col("key")).alias("component_id"),
-        F.coalesce("links", F.lit(0)).alias("n_links"),
+        *([F.coalesce("links", F.lit(0)).alias("n_links")] if count_links else []),
     )
 
 
 def firsts(documents: DataFrame, key: str = "doc_id", text: str = "text", n: int = 5) -> DataFrame:
     """The documents that are the first of their component, and those with an empty set, with their columns. Rows repeated whole go too; so does a null key where others share the set."""
-    found = join(documents, key, text, n)
+    found = join(documents, key, text, n, count_links=False)
     later = found.filter(~F.col(key).eqNullSafe(F.col("component_id"))).select(F.col(key).alias("later")).distinct()
     later = small_side(later, 32)
     return documents.join(later, documents[key].eqNullSafe(later["later"]), "left_anti")
