@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textloom.functions import sqltext as S
@@ -32,11 +32,20 @@ SELECT doc_id, {S.slug('left(text, 200)')} AS slug, CASE WHEN length(trim(regexp
 FROM documents WHERE n_chars < 4000
 """, "F01 F02 F03 F04 F14 F15")
 def text_projection(spark, sf_dir):
-    docs = _docs(spark, sf_dir).filter("n_chars < 4000")
+    return projected(_docs(spark, sf_dir).filter("n_chars < 4000"), F.left("text", F.lit(200)))
+
+
+@query("text_projection_whole", None, "F01 F02 F03 F04 F14 F15")
+def text_projection_whole(spark, sf_dir):
+    """All documents with slugs of their whole texts; ``text_projection`` follows its SQL, which leaves out long ones."""
+    return projected(_docs(spark, sf_dir), F.col("text"))
+
+
+def projected(docs: DataFrame, title: Column) -> DataFrame:
     folded = T.fold(F.col("text"))
     at = F.instr(folded, " in ")
     thesis = F.when(at >= 25, F.left(folded, at - 1)).otherwise(folded)
-    return docs.select("doc_id", T.slug(F.left("text", F.lit(200))).alias("slug"), T.excerpt(F.col("text"), 70).alias("excerpt"), thesis.alias("thesis"), F.size(T.tokens(F.col("text"))).cast("long").alias("n_tokens"))
+    return docs.select("doc_id", T.slug(title).alias("slug"), T.excerpt(F.col("text"), 70).alias("excerpt"), thesis.alias("thesis"), F.size(T.tokens(F.col("text"))).cast("long").alias("n_tokens"))
 
 
 @query("token_df", f"""
