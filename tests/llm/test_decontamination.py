@@ -51,8 +51,9 @@ def test_random_small_alphabet(spark):
     assert run(spark, docs, [], 5) == sorted([(k, n, 0, []) for k, n, *_ in want], key=repr)
     assert run(spark, [], items, 5) == []
     d = spark.createDataFrame(docs, "doc_id long, text string")
-    kept = sorted(r.doc_id for r in dc.clean(d, spark.createDataFrame(items, "item_id long, text string"), window=5).collect())
-    assert kept == sorted(k for k, _, n, _ in want if n == 0)
+    for how in ({}, {"block_bytes": 200}):
+        kept = sorted(r.doc_id for r in dc.clean(d, spark.createDataFrame(items, "item_id long, text string"), window=5, **how).collect())
+        assert kept == sorted(k for k, _, n, _ in want if n == 0)
 
 
 def test_suffix_array_order():

@@ -5,9 +5,9 @@ ends every match, and is one rank of its own), its suffixes that start with a te
 suffixes of all items are looked up at once by binary search, word by word, until their range is empty. The last range of a
 suffix holds its longest verbatim matches and their places; the range at window length holds the occurrences of its window.
 
-Test items are the stated query set. They are read in blocks of at most ``block_bytes`` of text, so what goes to the tasks is bounded whatever the
-size of the benchmark; each block is searched in every shard, and a document's spans over all blocks are merged. Training
-text is read where it lies and never shuffled.
+Test items are the stated query set. They are read in blocks of about ``block_bytes`` of text, and driver and tasks hold one block at a time, whatever the
+size of the benchmark. Each block after the first is searched in a pass of its own over the training text, whose few documents with matches are
+written; the pass of the first block takes these up. Training text is read where it lies and, with one block, never shuffled.
 
 Defined results: null or blank texts have no words, items or hits; items without words never occur; repeated items count once by
 item id; matches never cross documents; an empty table on either side gives no hits; ``clean`` keeps all columns, whatever their names.
@@ -15,7 +15,7 @@ item id; matches never cross documents; an empty table on either side gives no h
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import ALNUM, Words, slices, text_bytes
+from textloom.llm.common import ALNUM, Words, slices, text_bytes, written
 
 FOUND = "struct<n_words: bigint, spans: array<struct<s: bigint, e: bigint>>, items: array<string>, longest: bigint>"
 
@@ -219,12 +219,11 @@ def matches(column: pa.Array, block: TestBlock) -> pa.Array:
     return pa.array([{"n_words": n, "spans": s, "items": sorted(set(i)), "longest": m} for n, s, i, m in zip(n_words.tolist(), spans, items, longest.tolist(), strict=True)])
 
 
-def finders(benchmark: DataFrame, key: str = "item_id", text: str = "text", window: int = 10, block_bytes: int = 1 << 22) -> list[Callable[[Column], Column]]:
-    """One function per block of test items; each makes a column of what ``matches`` finds in a text column."""
+def finders(benchmark: DataFrame, key: str = "item_id", text: str = "text", window: int = 10, block_bytes: int = 1 << 20) -> Iterator[Callable[[Column], Column]]:
+    """One function per block of test items, made when it is asked for; each makes a column of what ``matches`` finds in a text column."""
     items = benchmark.select(F.col(key).alias("key"), F.col(text).alias("text")).filter("text IS NOT NULL").distinct()
     size = items.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
     blocks = max(1, -(-size // block_bytes))
-    out = []
     for b in range(blocks):
         block = test_block([tuple(r) for r in items.filter(F.pmod(F.xxhash64("key", "text"), F.lit(blocks)) == b).collect()], window)
 
@@ -235,8 +234,24 @@ def finders(benchmark: DataFrame, key: str = "item_id", text: str = "text", wind
 
             return apply(column)
 
-        out.append(make)
-    return out
+        yield make
+
+
+def _id(key: str, text: str) -> Column:
+    """Names a document for joins; rows of one key and text have one fate."""
+    return F.struct(F.col(key).alias("k"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("t"))
+
+
+def _hits(documents: DataFrame, further: Iterator[Callable[[Column], Column]], key: str, text: str) -> DataFrame | None:
+    """(id, spans, items, longest) of the documents with matches in any of the blocks; None for no block."""
+    found = None
+    for f in further:
+        each = documents.select(_id(key, text).alias("id"), f(F.col(text)).alias("r")).select("id", "r.spans", "r.items", "r.longest")
+        each = written(each.filter("longest > 0 OR size(items) > 0").dropDuplicates(["id"]), "hits")
+        found = each if found is None else found.unionByName(each)
+    if found is None:
+        return None
+    return found.groupBy("id").agg(F.flatten(F.collect_list("spans")).alias("more_spans"), F.flatten(F.collect_list("items")).alias("more_items"), F.max("longest").alias("more_longest"))
 
 
 def _covered(spans: Column) -> Column:
@@ -248,21 +263,27 @@ def _covered(spans: Column) -> Column:
 def find(documents: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", window: int = 10, **how) -> DataFrame:
     """(key, n_words, n_hit, items, longest, spans) for each document."""
     made = finders(benchmark, window=window, **how)
-    rows = documents.select(F.col(key).alias("key"), *[f(F.col(text)).alias(f"b{i}") for i, f in enumerate(made)])
-    parts = [F.col(f"b{i}") for i in range(len(made))]
-    spans = F.flatten(F.array(*[p["spans"] for p in parts]))
-    return rows.select(
-        F.col("key").alias(key),
-        parts[0]["n_words"].alias("n_words"),
-        _covered(spans).alias("n_hit"),
-        F.array_sort(F.array_distinct(F.flatten(F.array(*[p["items"] for p in parts])))).alias("items"),
-        F.greatest(*[p["longest"] for p in parts], F.lit(0)).alias("longest"),
-        spans.alias("spans"),
-    )
-
-
-def clean(documents: DataFrame, benchmark: DataFrame, text: str = "text", window: int = 10, **how) -> DataFrame:
+    first = next(made)
+    more = _hits(documents, made, key, text)
+    rows = documents.select(F.col(key).alias("key"), _id(key, text).alias("id"), first(F.col(text)).alias("r")).select("key", "id", "r.*")
+    if more is not None:
+        none = {c: F.array().cast(rows.schema[c].dataType) for c in ("spans", "items")}
+        rows = rows.join(more, "id", "left").select(
+            "key",
+            "n_words",
+            *[F.concat(c, F.coalesce(f"more_{c}", none[c])).alias(c) for c in none],
+            F.greatest("longest", "more_longest").alias("longest"),
+        )
+    return rows.select(F.col("key").alias(key), "n_words", _covered(F.col("spans")).alias("n_hit"), F.array_sort(F.array_distinct("items")).alias("items"), "longest", "spans")
+
+
+def clean(documents: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", window: int = 10, **how) -> DataFrame:
     """The documents in which no window of the benchmark occurs, with their columns."""
-    for f in finders(benchmark, window=window, **how):
-        documents = documents.filter(F.size(f(F.col(text))["items"]) == 0)
-    return documents
+    made = finders(benchmark, window=window, **how)
+    kept = documents.filter(F.size(next(made)(F.col(text))["items"]) == 0)
+    more = _hits(documents, made, key, text)
+    if more is None:
+        return kept
+    names = documents.columns
+    held = kept.select(F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)]).alias("row"), _id(key, text).alias("id"))
+    return held.join(more.filter(F.size("more_items") > 0).select("id"), "id", "left_anti").select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(names)])
