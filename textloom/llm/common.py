@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes of text that a Python task works on at once; a longer text is a slice of its own.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -77,7 +77,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_powers[0]) < n:
-        size = 1 << max(20, n.bit_length())
+        size = 1 << max(19, int(n).bit_length())
         for i, base in enumerate((_BASE, _INVERSE)):
             p = np.full(size, base, np.uint64)
             p[0] = 1
