@@ -49,6 +49,26 @@ def test_kth_largest(spark):
     assert qc.kth_largest(df, 3001) is None and qc.kth_largest(df.limit(0), 1) is None
 
 
+def test_query_matches_brute_force(spark):
+    """Counts, ratios, weights and the selection of the whole table in plain Python; noise by Spark's hash, as no library has it."""
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
+    good = {r.doc_id for r in spark.read.parquet(f"{SF}/labels.parquet").filter("quality = 1").collect()}
+    each = {k: buckets(t) for k, t in rows}
+    raw, target = Counter(), Counter()
+    for k, found in each.items():
+        raw.update(found)
+        target.update(found if k in good else [])
+    n, m, size = sum(raw.values()), sum(target.values()), 1 << qc.BITS
+    ratio = {b: math.log((target[b] + 1) / (m + size)) - math.log((raw[b] + 1) / (n + size)) for b in range(size)}
+    noise = {r.k: r.h for r in spark.createDataFrame([(k,) for k, _ in rows], "k long").selectExpr("k", "xxhash64(cast(k as string), 1) AS h").collect()}
+    uniform = lambda h: (((h % 2**64) >> 11) + 0.5) / 2**53
+    keys = {k: sum(ratio[b] for b in found) / len(found) / 0.02 - math.log(-math.log(uniform(noise[k]))) for k, found in each.items() if found}
+    kept = set(sorted(keys, key=keys.get, reverse=True)[: round(0.9 * len(keys))])
+    got = queries.op10_quality_classifier(spark, SF).collect()
+    assert len(got) == len(rows) and {r.doc_id for r in got if r.kept} == kept
+    assert all(abs(r.sampling_key - keys[r.doc_id]) < 1e-2 for r in got if r.doc_id in keys)
+
+
 def test_tells_labels_apart(spark):
     got = queries.op10_quality_classifier(spark, SF).join(spark.read.parquet(f"{SF}/labels.parquet"), "doc_id").toPandas()
     assert got.kept[got.quality == 1].mean() > 0.98 and got.kept[got.quality == 0].mean() < 0.5
