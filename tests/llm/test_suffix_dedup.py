@@ -38,8 +38,9 @@ def test_run_index():
         raw = text.tobytes()
         key = [raw[i:] for i in range(n)]
         assert suffix_dedup.suffix_order(text).tolist() == sorted(range(n), key=lambda i: key[i])
-        index = suffix_dedup.run_index(text)
-        assert index.run.sum() == n and len(index.first) == len(index.byte)
+        index = suffix_dedup.run_index(text, np.array([n - 1]))
+        order = sorted(range(n), key=lambda i: key[i])
+        assert b"".join(bytes([b]) * (e - s) for b, s, e in zip(index.byte, index.start[:-1], index.start[1:], strict=True) if b < 256) == bytes(raw[i - 1] for i in order if i)
 
         def share(a, b):
             k = 0
@@ -47,8 +48,20 @@ def test_run_index():
                 k += 1
             return k
 
-        want = [max((share(key[i], key[j]) for j in range(n) if j != i), default=0) for i in range(n)]
-        assert suffix_dedup.matching_statistics(index, n).tolist() == want
+        want = [max((share(key[i], key[j]) for j in range(n) if j != i), default=0) for i in range(n - 1)]
+        for length in {1, 2, *want}:
+            got = {n - 1 - step: bool(yes[0]) for step, _, yes in suffix_dedup.walked(index, np.array([n - 1]), length)}
+            assert [got[i] for i in range(n - 1)] == [x >= length for x in want]
+
+
+def test_repeated_windows():
+    rnd = random.Random(3)
+    for _ in range(60):
+        contents = [b"".join(rnd.choice([b"ab", b"abcab", b"c", b"xyz"]) for _ in range(rnd.randrange(1, 25))) for _ in range(rnd.randrange(1, 6))]
+        for length, walk in ((4, 1024), (6, 3), (9, 7)):
+            seen = Counter(c[i : i + length] for c in contents for i in range(len(c) - length + 1))
+            want = [[seen[c[i : i + length]] > 1 for i in range(len(c) - length + 1)] for c in contents]
+            assert [x.tolist() for x in suffix_dedup.repeated_windows(contents, length, walk)] == want
 
 
 def corpus(rnd):
@@ -64,7 +77,8 @@ def test_brute(spark):
     want = brute(rows, 64)
     assert sum(r[2] for r in want) > 5000
     assert run(spark, rows, 64) == want
-    assert run(spark, rows, 64, shard_bytes=2000, hot_contents=3) == want
+    assert run(spark, rows, 64, shard_bytes=2000) == want
+    assert run(spark, rows, 64, shard_bytes=200, grams=(8, 32, 60)) == want
     assert run(spark, rows[:0], 64) == []
 
 

@@ -47,8 +47,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """UTF-8 bytes of a string column end to end, and the n + 1 offsets of its rows; null counts as empty."""
-    column = column.cast(pa.large_string()).fill_null("")
+    """Bytes of a string (UTF-8) or binary column end to end, and the n + 1 offsets of its rows; null counts as empty."""
+    column = column.cast(pa.large_binary()).fill_null(b"")
     offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
     if len(offsets) == 0:
         return np.zeros(0, np.uint8), np.zeros(1, np.int64)

@@ -1,15 +1,15 @@
 """Suffix-array dedup over a run-length index: every byte inside a string of ``length`` bytes that starts anywhere else too.
 
-1. Each string of ``length`` bytes is named by the least hash of its ``GRAM``-byte grams. Neighbouring strings of one name make a stretch, so texts fall
-   into stretches of some 600 bytes, and equal strings get equal names wherever they stand. Stretches move as numbers: name and content hash.
+1. Each string of ``length`` bytes is named by the least hash of its grams (``GRAMS[0]`` bytes each). Neighbouring strings of one name make a stretch, so
+   texts fall into stretches of some 600 bytes, and equal strings get equal names wherever they stand. Stretches move as numbers: name and content hash.
 2. A name seen once is unique, unless its stretch is periodic; a name with one content seen several times is repeated whole. Names with several contents are looked into:
    each different content is cut out of one document and sent, once, to the shard of its name.
-3. A shard builds a run-length index of its contents: suffix order by prefix doubling, the Burrows-Wheeler transform cut into runs, and at
-   both ends of each run a sample of the position and its common prefix with the neighbour outside. Common prefixes lose one byte from each position to the next
-   until the next sample, so matching statistics of all contents against all others stream from the samples in text order; windows whose longest match
-   reaches ``length`` are repeated. Repeats are what such an index is small on.
-4. Names with more than ``hot_contents`` contents (frequent passages in many settings) are not sent to one shard: their strings are hashed one by one
-   and counted, which combines before the shuffle and has no hot key.
+3. A shard builds a run-length index of its contents: the runs of the Burrows-Wheeler transform, where each run's places go one byte further back, and, sampled at both
+   ends of each run, the common prefixes with the neighbours there. Matching statistics of all contents against all others are streamed backwards through
+   the runs alone: inside a run a common prefix grows by one byte a step, at a run's end it is the sample. Strings whose longest match reaches ``length`` are repeated.
+4. Contents of a name that weigh more than a shard (a frequent passage in many settings) are cut again by the next, longer grams, of which strings that reach far out of
+   the passage share none. What is still too heavy for a shard under the longest grams is a few strings a content; these are hashed and counted, which combines
+   before the shuffle and has no hot key. No step drops anything, and every task is bounded.
 5. Repeated strings go back to the documents that hold their stretches, and their bytes are removed there.
 
 Defined results: null counts as empty; texts shorter than ``length`` keep all; matches never cross documents; rows repeated whole repeat each other; a null key is a
@@ -30,20 +30,20 @@ from pyspark.sql import functions as F
 from textloom.llm import common
 from textloom.llm.common import mix, slices, text_bytes, written
 
-GRAM = 32
+#: Bytes of the grams that name strings: first of all of them, then of those of names too heavy for a shard.
+GRAMS = (32, 384)
 END = 0xFF  # no byte of UTF-8
+#: Most bytes that one walk through the index goes back; longer contents are walked in parts.
+WALK = 1024
 _U = np.uint64
-_STEPS = [_U(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 STRETCH = "start int, windows int, name long, content long, inner boolean"
 
 
-def gram_hashes(data: np.ndarray) -> np.ndarray:
-    """Hash of the GRAM bytes at each position, by doubling."""
-    h = common._BYTE_KEYS[data]
-    for k, step in enumerate(_STEPS):
-        h = h[: len(h) - (1 << k)] * step + h[1 << k :]
-        h ^= h >> _U(29)
-    return mix(h)
+def gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
+    """Hash of the ``gram`` bytes at each position."""
+    power, inverse = common._power(len(data) + 1)
+    total = np.concatenate((np.zeros(1, _U), np.cumsum(mix(common._BYTE_KEYS[data]) * power[:-1])))
+    return mix((total[gram:] - total[:-gram]) * inverse[: len(data) - gram + 1] + _U(gram))
 
 
 def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -56,13 +56,13 @@ def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(behind[:n], ahead[width - 1 : width - 1 + n])
 
 
-def stretches(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+def stretches(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
     """(row, start, windows, name, content, inner) of the stretches of each row; ``inner`` tells that a stretch may repeat within itself."""
     none = tuple(np.zeros(0, t) for t in (np.int64, np.int32, np.int32, np.int64, np.int64, bool))
     if len(data) < length:
         return none
-    grams = gram_hashes(data)
-    name = sliding_least(grams, length - GRAM + 1)
+    grams = gram_hashes(data, gram)
+    name = sliding_least(grams, length - gram + 1)
     row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
     inside = row[: len(name)] == row[length - 1 :]
     first = inside & np.concatenate(([True], (name[1:] != name[:-1]) | (row[1 : len(name)] != row[: len(name) - 1]) | ~inside[:-1]))
@@ -85,14 +85,19 @@ def stretches(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.nd
 
 @dataclass(frozen=True)
 class RunIndex:
-    """Runs of the Burrows-Wheeler transform: byte and length of each, and at its first and last place the text position and the common prefix with the neighbour outside."""
+    """Runs of the Burrows-Wheeler transform, and samples at both ends of each.
+
+    ``start`` is the first place of each run, with the number of places at the end, and ``byte`` its byte. One byte further back the run's places stand in a row from place
+    ``back`` on; ``above`` and ``below`` are the common prefixes there of its first place with the one before and of its last with the one after.
+    ``entry`` has the place of some text positions, and their common prefixes with the places before and after: where walks begin.
+    """
 
     byte: np.ndarray
-    run: np.ndarray
-    first: np.ndarray
-    first_common: np.ndarray
-    last: np.ndarray
-    last_common: np.ndarray
+    start: np.ndarray
+    back: np.ndarray
+    above: np.ndarray
+    below: np.ndarray
+    entry: np.ndarray
 
 
 def suffix_order(text: np.ndarray) -> np.ndarray:
@@ -109,7 +114,8 @@ def suffix_order(text: np.ndarray) -> np.ndarray:
     todo, reach = order[~alone], 8
     while len(todo):
         group = rank[todo]
-        follow = np.where(todo + reach < n, rank[np.minimum(todo + reach, n - 1)] + 1, 0)
+        # The text's end counts as more than any byte, as in ``eight``: steps back by one byte must keep the order.
+        follow = np.where(todo + reach < n, rank[np.minimum(todo + reach, n - 1)], n)
         o = np.argsort(group * (n + 2) + follow)
         todo, group, follow = todo[o], group[o], follow[o]
         new_group = np.concatenate(([True], group[1:] != group[:-1]))
@@ -152,37 +158,54 @@ def common_prefix(text: np.ndarray, key: np.ndarray, p: np.ndarray, q: np.ndarra
     return np.minimum(out, n - np.maximum(p, q))
 
 
-def run_index(text: np.ndarray) -> RunIndex:
-    order = suffix_order(text)
-    before = np.where(order > 0, text[order - 1].astype(np.int16), 256)
-    cut = np.flatnonzero(before[1:] != before[:-1]) + 1
-    starts, ends = np.concatenate(([0], cut)), np.concatenate((cut, [len(text)])) - 1
-    key = eight(text)
-    across = common_prefix(text, key, order[starts[1:] - 1], order[starts[1:]])
-    zero = np.zeros(1, np.int64)
-    return RunIndex(before[starts].astype(np.int16), ends - starts + 1, order[starts], np.concatenate((zero, across)), order[ends], np.concatenate((across, zero)))
-
-
-def matching_statistics(index: RunIndex, n: int) -> np.ndarray:
-    """Longest match of each suffix with any other one, streamed in text order from the samples."""
-    out = np.zeros(n, np.int64)
-    at = np.arange(n)
-    for position, length in ((index.first, index.first_common), (index.last, index.last_common)):
-        sample = np.full(n, -1)
-        sample[position] = at[: len(position)]
-        place = np.maximum.accumulate(np.where(sample >= 0, at, -1))
-        known = place >= 0
-        out[known] = np.maximum(out[known], length[sample[place[known]]] - (at[known] - place[known]))
-    return out
+def run_index(text: np.ndarray, entries: np.ndarray) -> RunIndex:
+    """Index of ``text``, with walks to begin at the positions ``entries``. The suffix order and common prefixes that it is built from are dropped again."""
+    n, order, key = len(text), suffix_order(text), eight(text)
 
+    def with_next(place: np.ndarray) -> np.ndarray:
+        """Common prefix of the suffixes at ``place`` and the next one; 0 before the first and after the last."""
+        out, inside = np.zeros(len(place), np.int64), (place >= 0) & (place < n - 1)
+        out[inside] = common_prefix(text, key, order[place[inside]], order[place[inside] + 1])
+        return out
 
-def repeated_windows(contents: list[bytes], length: int) -> list[np.ndarray]:
+    before = np.where(order > 0, text[order - 1].astype(np.int16), 256)
+    start = np.concatenate(([0], np.flatnonzero(before[1:] != before[:-1]) + 1))
+    byte, run = before[start], np.diff(np.append(start, n))
+    by_byte = np.argsort(byte, kind="stable")
+    back = np.empty(len(run), np.int64)
+    back[by_byte] = np.cumsum(run[by_byte]) - run[by_byte]
+    rank = np.empty(n, np.int64)
+    rank[order] = np.arange(n)
+    place = rank[entries]
+    return RunIndex(byte, np.append(start, n), back, with_next(back - 1), with_next(back + run - 1), np.array([place, with_next(place - 1), with_next(place)]))
+
+
+def walked(index: RunIndex, steps: np.ndarray, length: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(step, walks, whether the longest match with any other suffix has ``length``), byte by byte back from each entry, all walks at once."""
+    walks = np.argsort(-steps, kind="stable")
+    ends = steps[walks]
+    place, above, below = (x[walks] for x in index.entry)
+    for step in range(1, int(ends[0]) + 1 if len(ends) else 1):
+        n = np.searchsorted(-ends, -step, "right")
+        place, above, below = place[:n], above[:n], below[:n]
+        run = np.searchsorted(index.start, place, "right") - 1
+        above = np.where(place == index.start[run], index.above[run], above + 1)
+        below = np.where(place == index.start[run + 1] - 1, index.below[run], below + 1)
+        place = index.back[run] + place - index.start[run]
+        yield step, walks[:n], np.maximum(above, below) >= length
+
+
+def repeated_windows(contents: list[bytes], length: int, walk: int = WALK) -> list[np.ndarray]:
     """For each content, which of its windows start elsewhere too, in it or in another one."""
-    raw = b"".join(c + bytes([END]) for c in contents)
-    text = np.frombuffer(raw, np.uint8)
-    long = matching_statistics(run_index(text), len(text)) >= length
-    ends = np.cumsum([len(c) + 1 for c in contents])
-    return [long[e - len(c) - 1 : e - length] for c, e in zip(contents, ends.tolist(), strict=True)]
+    text = np.frombuffer(b"".join(c + bytes([END]) for c in contents), np.uint8)
+    ends = np.cumsum([len(c) + 1 for c in contents]) - 1
+    firsts = np.concatenate(([0], ends[:-1] + 1))
+    entries = np.concatenate([np.arange(e, f, -walk) if e > f else np.array([e]) for f, e in zip(firsts.tolist(), ends.tolist(), strict=True)])
+    bounds = np.maximum(entries - walk, firsts[np.searchsorted(firsts, entries, "right") - 1])
+    long = np.zeros(len(text), bool)
+    for step, walks, yes in walked(run_index(text, entries), entries - bounds, length):
+        long[entries[walks] - step] = yes
+    return [long[f : max(f, e - length + 1)] for f, e in zip(firsts.tolist(), ends.tolist(), strict=True)]
 
 
 def _runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -194,36 +217,36 @@ def _id_of(key: str, text: str):
     return F.struct(F.col(key).alias("k"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("t"))
 
 
-def removed(documents: DataFrame, key: str = "doc_id", text: str = "text", length: int = 400, shard_bytes: int = 1 << 20, hot_contents: int = 1000) -> DataFrame:
-    """(id, spans): the byte spans (s, e) to be removed, in any order and overlapping, of documents that lose any; ``id`` is a struct of key and text hash."""
-    rows = documents.select(_id_of(key, text).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+def repeats(rows: DataFrame, length: int, grams: tuple[int, ...], shard_bytes: int) -> DataFrame:
+    """(id, lo, hi): the strings of ``length`` bytes that start from byte lo and before byte hi of the rows (id, raw) and start elsewhere too. Rows of one id are equal."""
     id_type = rows.schema["id"].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = text_bytes(batch.column(1))
             for lo, hi in slices(offsets):
-                row, *numbers = stretches(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], length)
+                row, *numbers = stretches(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], length, grams[0])
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row + lo)), *map(pa.array, numbers)], ["id", "start", "windows", "name", "content", "inner"])
 
     pieces = written(rows.mapInArrow(cut, f"id {id_type}, {STRETCH}"), "stretches")
     seen = pieces.groupBy("name").agg(F.count(F.lit(1)).alias("n"), F.min("content").alias("least"), F.max("content").alias("most"), F.max("inner").alias("inner")).filter("n > 1 OR inner")
     again = written(pieces.join(seen.select("name", ((F.col("least") == F.col("most")) & (F.col("n") > 1)).alias("one")), "name").drop("inner"), "again")
-    whole = again.filter("one").select("id", F.col("start").alias("s"), (F.col("start") + F.col("windows") - 1 + length).alias("e"))
+    stretch = [F.col("start").alias("lo"), (F.col("start") + F.col("windows")).alias("hi")]
+    whole = again.filter("one").select("id", *stretch)
 
     several = again.filter("NOT one")
     contents = several.groupBy("name", "content").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "start", "windows")).alias("at"))
-    sizes = contents.groupBy("name").agg(F.count(F.lit(1)).alias("contents"))
-    contents = written(contents.join(sizes, "name").select("name", "content", "n", "at.*", (F.col("contents") > hot_contents).alias("hot")), "contents")
-    wanted = contents.groupBy("id").agg(F.collect_list(F.struct("start", "windows", "name", "content", "hot")).alias("w"))
+    weights = contents.groupBy("name").agg((F.sum("at.windows") + F.count(F.lit(1)) * (length - 1)).alias("bytes"))
+    contents = written(contents.join(weights, "name").select("name", "content", "n", "at.*", (F.col("bytes") > shard_bytes).alias("heavy")), "contents")
+    wanted = contents.groupBy("id").agg(F.collect_list(F.struct("start", "windows", "name", "content", "heavy")).alias("w"))
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 64):
                 out = []
                 for value, many in zip(batch.column(0).slice(lo, 64), batch.column(1).slice(lo, 64).to_pylist(), strict=True):
-                    raw = value.as_py().encode("utf-8", "surrogatepass")
-                    out += [(w["name"], w["content"], w["hot"], raw[w["start"] : w["start"] + w["windows"] - 1 + length]) for w in many]
+                    raw = memoryview(value.as_buffer())
+                    out += [(w["name"], w["content"], w["heavy"], bytes(raw[w["start"] : w["start"] + w["windows"] - 1 + length])) for w in many]
                     if sum(len(x[3]) for x in out[-len(many) :]) > 1 << 20:
                         yield spelled_batch(out)
                         out = []
@@ -231,46 +254,60 @@ def removed(documents: DataFrame, key: str = "doc_id", text: str = "text", lengt
                     yield spelled_batch(out)
 
     def spelled_batch(out: list[tuple]) -> pa.RecordBatch:
-        columns = list(zip(*out, strict=True))
-        return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.bool_()), pa.array(columns[3], pa.binary())], ["name", "content", "hot", "raw"])
+        kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], ["name", "content", "heavy", "raw"])
 
-    # Rows repeated whole give their contents once.
-    texts = rows.join(wanted, "id").select("text", "w").mapInArrow(spell, "name long, content long, hot boolean, raw binary")
+    texts = rows.join(wanted, "id").select("raw", "w").mapInArrow(spell, "name long, content long, heavy boolean, raw binary")
     spelled = written(texts, "spelled")
-    total = spelled.filter("NOT hot").agg(F.sum(F.octet_length("raw"))).first()[0] or 0
-    shards = max(1, -(-total // shard_bytes))
+    total = {r.heavy: r.total for r in spelled.groupBy("heavy").agg(F.sum(F.octet_length("raw")).alias("total")).collect()}
+    shards = max(1, -(-total.get(False, 0) // shard_bytes))
 
     def match(table: pa.Table) -> pa.Table:
-        table = table.group_by(["name", "content"]).aggregate([("raw", "min")])
+        table = table.group_by(["name", "content"]).aggregate([("raw", "min")])  # rows repeated whole give their contents twice
         found = [_runs(x) for x in repeated_windows([x.as_py() for x in table.column("raw_min").combine_chunks()], length)]
         lists = [pa.array([r[k].astype(np.int32) for r in found], pa.list_(pa.int32())) for k in (0, 1)]
         return pa.table({"name": table.column("name"), "content": table.column("content"), "lo": lists[0], "hi": lists[1]})
 
-    cold = spelled.filter("NOT hot").select(F.pmod(F.xxhash64("name"), F.lit(shards)).alias("shard"), "name", "content", "raw")
-    found = cold.groupBy("shard").applyInArrow(match, "name long, content long, lo array<int>, hi array<int>").filter(F.size("lo") > 0)
+    light = spelled.filter("NOT heavy").select(F.pmod(F.xxhash64("name"), F.lit(shards)).alias("shard"), "name", "content", "raw")
+    found = light.groupBy("shard").applyInArrow(match, "name long, content long, lo array<int>, hi array<int>").filter(F.size("lo") > 0)
     found = found.select("name", "content", F.explode(F.arrays_zip("lo", "hi")).alias("z")).select("name", "content", "z.lo", "z.hi")
+    if True in total:
+        heavy = written(spelled.filter("heavy").dropDuplicates(["name", "content"]).select(F.struct("name", "content").alias("id"), "raw"), "heavy")
+        further = repeats(heavy, length, grams[1:], shard_bytes) if grams[1:] else counted(heavy, length)
+        found = found.unionByName(further.select("id.*", "lo", "hi"))
 
-    def window_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                data = np.frombuffer(batch.column(2)[i].as_buffer(), np.uint8)
-                power, inverse = common._power(len(data) + 1)
-                total = np.concatenate((np.zeros(1, _U), np.cumsum(mix(common._BYTE_KEYS[data]) * power[:-1])))
-                n = len(data) - length + 1
-                h = mix((total[length:] - total[:n]) * inverse[:n])
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, batch.column(k)[i].as_py())) for k in (0, 1)] + [pa.array(np.arange(n, dtype=np.int32)), pa.array(h.view(np.int64))], ["name", "content", "lo", "h"])
-
-    hot = spelled.filter("hot").dropDuplicates(["name", "content"]).select("name", "content", "raw").mapInArrow(window_hashes, "name long, content long, lo int, h long")
-    hot = written(hot, "windows")
-    twice = hot.groupBy("name", "h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("name", "h")
-    found = found.unionByName(hot.join(twice, ["name", "h"]).select("name", "content", "lo", (F.col("lo") + 1).alias("hi")))
-
-    repeated = several.join(contents.filter("n > 1").select("name", "content"), ["name", "content"], "left_semi")
-    repeated = repeated.select("id", F.col("start").alias("s"), (F.col("start") + F.col("windows") - 1 + length).alias("e"))
+    repeated = several.join(contents.filter("n > 1").select("name", "content"), ["name", "content"], "left_semi").select("id", *stretch)
     single = contents.filter("n = 1").select("name", "content", "id", "start")
-    partly = single.join(found, ["name", "content"]).select("id", (F.col("start") + F.col("lo")).alias("s"), (F.col("start") + F.col("hi") - 1 + length).alias("e"))
-    spans = whole.unionByName(repeated).unionByName(partly)
-    return spans.groupBy("id").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
+    partly = single.join(found, ["name", "content"]).select("id", (F.col("start") + F.col("lo")).alias("lo"), (F.col("start") + F.col("hi")).alias("hi"))
+    return whole.unionByName(repeated).unionByName(partly)
+
+
+def counted(rows: DataFrame, length: int) -> DataFrame:
+    """As ``repeats``, by hashes of all strings of ``length`` bytes, for rows of distinct ids."""
+    id_type = rows.schema["id"].dataType.simpleString()
+
+    def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = text_bytes(batch.column(1))
+            for lo, hi in slices(offsets):
+                own = offsets[lo : hi + 1] - offsets[lo]
+                h = gram_hashes(data[offsets[lo] : offsets[hi]], length) if own[-1] >= length else np.zeros(0, _U)
+                row = np.searchsorted(own, np.arange(len(h)), "right") - 1
+                inside = np.arange(len(h)) + length <= own[row + 1]
+                row, start, h = row[inside], np.flatnonzero(inside), h[inside]
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row + lo)), pa.array((start - own[row]).astype(np.int32)), pa.array(h.view(np.int64))], ["id", "lo", "h"])
+
+    each = written(rows.mapInArrow(strings, f"id {id_type}, lo int, h long"), "strings")
+    twice = each.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h")
+    return each.join(twice, "h").select("id", "lo", (F.col("lo") + 1).alias("hi"))
+
+
+def removed(documents: DataFrame, key: str = "doc_id", text: str = "text", length: int = 400, shard_bytes: int = 1 << 20, grams: tuple[int, ...] = GRAMS) -> DataFrame:
+    """(id, spans): the byte spans (s, e) to be removed, in any order and overlapping, of documents that lose any; ``id`` is a struct of key and text hash."""
+    rows = documents.select(_id_of(key, text).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("raw"))
+    # Grams are shorter than the strings that they name.
+    found = repeats(rows, length, tuple(g for g in grams if g < length) or (1,), shard_bytes)
+    return found.groupBy("id").agg(F.collect_list(F.struct(F.col("lo").alias("s"), (F.col("hi") - 1 + length).alias("e"))).alias("spans"))
 
 
 CUT = "struct<n_bytes: bigint, n_removed: bigint, spans: array<struct<s: bigint, e: bigint>>, sha256: string, kept: binary>"
