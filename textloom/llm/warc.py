@@ -5,13 +5,15 @@ meet only as combined minima. Records become lines of Spark's text writer, whose
 record, so archives go through the cluster's own file system and committer; a lost executor's part is written anew.
 A block longer than ``segment_bytes`` is cut, at character borders, into a record and its continuations.
 
-Reading: files are parsed record by record by their Content-Length. Segments are grouped by the identifier of their origin,
+Reading: files are parsed once, record by record by their Content-Length, whoever wrote them: records of any type and identifier, with or without
+target, digest or HTTP message. Segments are grouped by the identifier of their origin,
 a group being the segments of one record, put in order, and checked against the total length; chunked framing is decoded and the
-payload's digest compared with the header's.
+payload's digest compared with the header's. The page's key, of whatever type, travels in the extension fields ``X-Page-Key`` and ``X-Refers-To-Key``.
 
-Defined results: a null payload is empty; a null url is an empty target; line breaks in a url are percent-encoded; rows of
-the same key are records of their own, and if theirs is the least key of a payload each of them is a response; an empty table gives no
-archive records; other columns of the input are ignored. A record that fails a check raises ``ValueError``.
+Defined results: a null payload is empty; a null url is an empty target; line breaks in a url or key are percent-encoded; rows of
+the same key are records of their own, and if theirs is the least key of a payload each of them is a response; a row with a null key is a response
+that no other refers to; an empty table gives no archive records; other columns of the input are ignored. A record that fails a check keeps its
+row, with what is wrong in ``error`` and no payload; what follows a broken frame in a file is one such row.
 """
 
 from __future__ import annotations
@@ -21,29 +23,32 @@ import gzip
 import hashlib
 import io
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm.common import shared_dir
+from textloom.llm.common import shared_dir, written
 
 CRLF = "\r\n"
 HTTP_RESPONSE = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
 HTTP_REVISIT = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {}\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-RECORDS = "record_id string, origin_id string, key long, url string, type string, segment int, total long, digest string, refers_to long, block binary"
-PAYLOADS = "key long, url string, record_type string, refers_to long, payload_digest string, payload_bytes long, n_segments int, payload binary"
+HTTP = "application/http"
+RECORDS = "record_id string, origin_id string, key string, url string, type string, segment int, total long, digest string, refers_to string, content_type string, block binary, error string"
+PAYLOADS = "record_id string, key string, url string, record_type string, refers_to string, payload_digest string, payload_bytes long, n_segments int, payload binary, error string"
 
 
-def record_id(key: int) -> str:
-    """An identifier that names the page and is unique to the record."""
-    return f"<urn:x-page:{key}:{uuid.uuid4().hex}>"
+def record_id() -> str:
+    """An identifier that no other record has."""
+    return f"<urn:uuid:{uuid.uuid4()}>"
 
 
-def _key_of(identifier: str) -> int:
-    return int(identifier.split(":")[2].rstrip(">"))
+def _field(value: object) -> str:
+    """A header field's value: line breaks are percent-encoded."""
+    return str(value).replace("\r", "%0D").replace("\n", "%0A")
 
 
 def _cuts(text: str, most: int) -> list[str]:
@@ -74,40 +79,41 @@ def unchunked(body: bytes) -> bytes:
         at += size + 2
 
 
-def records(key: int, url: str | None, payload: str | None, refers_to: int | None, segment_bytes: int, chunk_bytes: int) -> Iterator[str]:
+def records(key: str | None, url: str | None, payload: str | None, refers_to: str | None, segment_bytes: int, chunk_bytes: int) -> Iterator[str]:
     """The records of one page, each without the blank line that ends it."""
     text = payload or ""
     raw = text.encode("utf-8", "replace")
     digest = base64.b32encode(hashlib.sha1(raw).digest()).decode()
-    target = (url or "").replace("\r", "%0D").replace("\n", "%0A")
-    own, common = record_id(key), f"WARC-Date: 2000-01-01T00:00:00Z{CRLF}WARC-Target-URI: {target}{CRLF}WARC-Payload-Digest: sha1:{digest}{CRLF}"
-    if refers_to is not None and refers_to != key:
+    own, common = record_id(), f"WARC-Date: 2000-01-01T00:00:00Z{CRLF}WARC-Target-URI: {_field(url or '')}{CRLF}WARC-Payload-Digest: sha1:{digest}{CRLF}"
+    if key is not None:
+        common += f"X-Page-Key: {_field(key)}{CRLF}"
+    if refers_to is not None:
         block = HTTP_REVISIT.format(len(raw))
         yield (
-            f"WARC/1.1{CRLF}WARC-Type: revisit{CRLF}WARC-Record-ID: {own}{CRLF}{common}WARC-Profile: {PROFILE}{CRLF}WARC-Refers-To: <urn:x-page:{refers_to}>{CRLF}"
-            f"Content-Type: application/http; msgtype=response{CRLF}Content-Length: {len(block)}{CRLF}{CRLF}{block}"
+            f"WARC/1.1{CRLF}WARC-Type: revisit{CRLF}WARC-Record-ID: {own}{CRLF}{common}WARC-Profile: {PROFILE}{CRLF}X-Refers-To-Key: {_field(refers_to)}{CRLF}"
+            f"Content-Type: {HTTP}; msgtype=response{CRLF}Content-Length: {len(block)}{CRLF}{CRLF}{block}"
         )
         return
     message = HTTP_RESPONSE + chunked(text, chunk_bytes)
     parts = _cuts(message, segment_bytes)
     total = len(message.encode("utf-8", "replace"))
     for n, part in enumerate(parts, 1):
-        head = f"WARC-Type: response{CRLF}WARC-Record-ID: {own}{CRLF}{common}" if n == 1 else f"WARC-Type: continuation{CRLF}WARC-Record-ID: {record_id(key)}{CRLF}WARC-Segment-Origin-ID: {own}{CRLF}{common}"
+        head = f"WARC-Type: response{CRLF}WARC-Record-ID: {own}{CRLF}{common}" if n == 1 else f"WARC-Type: continuation{CRLF}WARC-Record-ID: {record_id()}{CRLF}WARC-Segment-Origin-ID: {own}{CRLF}{common}"
         if len(parts) > 1:
             head += f"WARC-Segment-Number: {n}{CRLF}" + (f"WARC-Segment-Total-Length: {total}{CRLF}" if n == len(parts) else "")
-        yield f"WARC/1.1{CRLF}{head}Content-Type: application/http; msgtype=response{CRLF}Content-Length: {len(part.encode('utf-8', 'replace'))}{CRLF}{CRLF}{part}"
+        yield f"WARC/1.1{CRLF}{head}Content-Type: {HTTP}; msgtype=response{CRLF}Content-Length: {len(part.encode('utf-8', 'replace'))}{CRLF}{CRLF}{part}"
 
 
 def write_archives(pages: DataFrame, path: str, key: str = "page_id", url: str = "url", payload: str = "html", min_revisit_bytes: int = 0, segment_bytes: int = 1 << 14, chunk_bytes: int = 1 << 12, records_per_file: int = 4000) -> None:
     """Write a record for each row, or several if it is segmented, into gzip-compressed archives under ``path``.
 
-    Of rows with equal payloads of at least ``min_revisit_bytes``, those with the least key are responses; the others revisit it.
+    Of rows with equal payloads of at least ``min_revisit_bytes``, those with the least key (in the order of its type) are responses; the others revisit it.
     """
-    rows = pages.select(F.col(key).cast("long").alias("key"), F.col(url).alias("url"), F.coalesce(F.col(payload), F.lit("")).alias("payload"))
+    rows = pages.select(F.col(key).alias("key"), F.col(url).alias("url"), F.coalesce(F.col(payload), F.lit("")).alias("payload"))
     marked = rows.select("key", F.sha1("payload").alias("digest"), F.octet_length("payload").alias("size"))
     least = marked.groupBy("digest").agg(F.min("key").alias("least"))
     others = marked.filter(F.col("size") >= min_revisit_bytes).join(least, "digest").filter("key > least").select("key", "digest", "least").distinct()
-    joined = rows.withColumn("digest", F.sha1("payload")).join(others, ["key", "digest"], "left").select("key", "url", "payload", "least")
+    joined = rows.withColumn("digest", F.sha1("payload")).join(others, ["key", "digest"], "left").select(F.col("key").cast("string"), "url", "payload", F.col("least").cast("string"))
 
     def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -121,85 +127,104 @@ def write_archives(pages: DataFrame, path: str, key: str = "page_id", url: str =
 
 
 def parsed(stream: io.BufferedIOBase) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(headers by lower-case name, block) of each record of an open archive."""
+    """(headers by lower-case name, block) of each record of an open archive; ``ValueError`` where its frame is broken."""
     while line := stream.readline():
         if line == b"\r\n":
             continue
-        if not line.startswith(b"WARC/1."):
+        if not line.startswith(b"WARC/"):
             raise ValueError(f"not the start of a record: {line[:40]!r}")
         head: dict[str, str] = {}
         while (line := stream.readline()) not in (b"\r\n", b""):
-            name, _, value = line.decode().partition(":")
-            head[name.lower()] = value.strip()
-        block = stream.read(size := int(head["content-length"]))
+            name, _, value = line.decode("utf-8", "replace").partition(":")
+            head[name.strip().lower()] = value.strip()
+        size = int(head.get("content-length", "-1"))
+        if size < 0:
+            raise ValueError(f"{head.get('warc-record-id')} has no length")
+        block = stream.read(size)
         if len(block) != size or stream.read(4) != b"\r\n\r\n":
             raise ValueError(f"{head.get('warc-record-id')} is cut short")
         yield head, block
 
 
-def _payload(kind: str, digest: str, block: bytes) -> tuple[int, bytes | None]:
-    head, _, body = block.partition(b"\r\n\r\n")
-    lengths = [int(x.split(b":")[1]) for x in head.split(b"\r\n") if x.lower().startswith(b"content-length:")]
+def _payload(kind: str | None, content_type: str | None, digest: str | None, block: bytes) -> tuple[int, bytes | None]:
+    """Length of the payload, and the payload itself if the record has it; ``ValueError`` if it fails a check."""
+    body, head = block, b""
+    if (content_type or "").lower().startswith(HTTP):
+        head, _, body = block.partition(b"\r\n\r\n")
     if kind == "revisit":
-        return lengths[0], None
-    body = unchunked(body) if b"transfer-encoding: chunked" in head.lower() else body
-    if base64.b32encode(hashlib.sha1(body).digest()).decode() != digest:
+        lengths = [int(x.split(b":")[1]) for x in head.split(b"\r\n") if x.lower().startswith(b"content-length:")]
+        return (lengths[0] if lengths else len(body)), None
+    body = unchunked(body) if any(x.lower().replace(b" ", b"") == b"transfer-encoding:chunked" for x in head.split(b"\r\n")) else body
+    if digest and digest.lower().startswith("sha1:") and base64.b32encode(hashlib.sha1(body).digest()).decode() != digest[5:].upper():
         raise ValueError("payload does not match its digest")
     return len(body), body
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """One row per record, segments put together: key, url, record_type, refers_to, payload_digest, payload_bytes, n_segments, payload (null for revisits)."""
+    """One row per record, segments put together: record_id, key, url, record_type, refers_to, payload_digest (without ``sha1:``), payload_bytes, n_segments, payload (null for revisits), error."""
+    names = [f.split(" ")[0] for f in RECORDS.split(", ")]
+    types = [pa.string(), pa.string(), pa.string(), pa.string(), pa.string(), pa.int32(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.binary(), pa.string()]
 
-    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [f.split(" ")[0] for f in RECORDS.split(", ")]
+    def out(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
 
-        def out(rows: list[tuple]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
+    def row(head: dict[str, str], block: bytes) -> tuple:
+        own, total, segment = head.get("warc-record-id"), head.get("warc-segment-total-length"), head.get("warc-segment-number")
+        return (own, head.get("warc-segment-origin-id", own), head.get("x-page-key"), head.get("warc-target-uri"), head.get("warc-type"), int(segment or 0), int(total) if total else None, head.get("warc-payload-digest"), head.get("x-refers-to-key"), head.get("content-type"), block, None)
 
-        types = [pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int32(), pa.int64(), pa.string(), pa.int64(), pa.binary()]
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for content in batch.column(0):
                 rows, size = [], 0
-                for head, block in parsed(gzip.GzipFile(fileobj=io.BytesIO(content.as_buffer()))):
-                    own = head["warc-record-id"]
-                    refers = head.get("warc-refers-to")
-                    total = head.get("warc-segment-total-length")
-                    segment = int(head.get("warc-segment-number", 0))
-                    rows.append((own, head.get("warc-segment-origin-id", own), _key_of(own), head["warc-target-uri"], head["warc-type"], segment, int(total) if total else None, head["warc-payload-digest"].removeprefix("sha1:"), _key_of(refers) if refers else None, block))
-                    if (size := size + len(block)) > 1 << 22:
-                        yield out(rows)
-                        rows, size = [], 0
+                stream = io.BytesIO(content.as_buffer())
+                try:
+                    for head, block in parsed(gzip.GzipFile(fileobj=stream) if content.as_buffer()[:2] == b"\x1f\x8b" else stream):
+                        rows.append(row(head, block))
+                        if (size := size + len(block)) > 1 << 22:
+                            yield out(rows)
+                            rows, size = [], 0
+                except (ValueError, EOFError, OSError, zlib.error) as e:
+                    rows.append((*[None] * 5, 0, *[None] * 5, f"{type(e).__name__}: {e}"))
                 if rows:
                     yield out(rows)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = [pa.string()] * 6 + [pa.int64(), pa.int32(), pa.binary(), pa.string()]
         for batch in batches:
-            rows = []
-            for key, url, kind, digest, refers, n, block in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                size, payload = _payload(kind, digest, block)
-                rows.append((key, url, kind, refers, digest, size, n, payload))
-            if rows:
-                types = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int32(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], [f.split(" ")[0] for f in PAYLOADS.split(", ")])
+            for lo in range(0, batch.num_rows, 500):
+                rows = []
+                for record, key, url, kind, refers, digest, content_type, parts, error in zip(*(c.slice(lo, 500).to_pylist() for c in batch.columns), strict=True):
+                    size = payload = None
+                    if error is None:
+                        try:
+                            size, payload = _payload(kind, content_type, digest, b"".join(parts))
+                        except (ValueError, IndexError) as e:
+                            error = f"{type(e).__name__}: {e}"
+                    rows.append((record, key, url, kind, refers, (digest or "").removeprefix("sha1:") or None, size, len(parts), payload, error))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], [f.split(" ")[0] for f in PAYLOADS.split(", ")])
 
     files = spark.read.format("binaryFile").load(path).select("content")
-    found = files.mapInArrow(parse, RECORDS)
-    single = found.filter("segment = 0").select("key", "url", "type", "digest", "refers_to", F.lit(1).alias("n"), "block")
-    ordered = F.sort_array(F.collect_list(F.struct("segment", "total", "type", "block")))
-    groups = found.filter("segment > 0").groupBy("origin_id").agg(F.first("key").alias("key"), F.first("url").alias("url"), F.first("digest").alias("digest"), ordered.alias("s"))
-    whole = groups.select("key", "url", "digest", "origin_id", F.size("s").alias("n"), F.element_at("s", -1)["segment"].alias("last"), F.element_at("s", -1)["total"].alias("total"), F.concat_ws("", F.transform("s", lambda x: F.hex(x["block"]))).alias("hex"))
-    broken = (F.col("last") != F.col("n")) | F.col("total").isNull() | (F.col("total") * 2 != F.length("hex"))
-    checked = F.when(broken, F.raise_error(F.concat(F.lit("segments do not make up "), "origin_id"))).otherwise(F.unhex("hex"))
-    segmented = whole.select("key", "url", F.lit("response").alias("type"), "digest", F.lit(None).cast("long").alias("refers_to"), "n", checked.alias("block"))
+    found = written(files.mapInArrow(parse, RECORDS), "records", "zstd")
+    columns = ["record_id", "key", "url", "type", "refers_to", "digest", "content_type"]
+    single = found.filter("segment = 0").select(*columns, F.array("block").alias("parts"), "error")
+    # The segments of one record; its first one has the headers of the whole.
+    first = F.min_by(F.struct(*columns), "segment").alias("first")
+    groups = found.filter("segment > 0").groupBy("origin_id").agg(first, F.sort_array(F.collect_list(F.struct("segment", "total", "block"))).alias("s"))
+    last = F.element_at("s", -1)
+    length = F.aggregate("s", F.lit(0).cast("long"), lambda a, x: a + F.octet_length(x["block"]))
+    whole = (F.transform("s", lambda x: x["segment"]) == F.sequence(F.lit(1), F.size("s"))) & (last["total"] == length)
+    segmented = groups.select("first.*", F.transform("s", lambda x: x["block"]).alias("parts"), F.when(~F.coalesce(whole, F.lit(False)), F.concat(F.lit("segments do not make up "), F.coalesce("origin_id", F.lit("a record")))).alias("error"))
     return single.unionByName(segmented).mapInArrow(decode, PAYLOADS)
 
 
-def round_trip(pages: DataFrame, min_revisit_bytes: int = 0, **how) -> DataFrame:
-    """Write the pages into archives in the shared folder and read these back."""
+def round_trip(pages: DataFrame, key: str = "page_id", min_revisit_bytes: int = 0, **how) -> DataFrame:
+    """Write the pages into archives in the shared folder and read these back, with keys of the pages' type. A record that fails a check ends the query: these archives are its own."""
     path = f"{shared_dir(pages.sparkSession)}/warc-{uuid.uuid4().hex}"
-    write_archives(pages, path, min_revisit_bytes=min_revisit_bytes, **how)
-    return read_archives(pages.sparkSession, path)
+    write_archives(pages, path, key, min_revisit_bytes=min_revisit_bytes, **how)
+    kind = pages.schema[key].dataType
+    back = read_archives(pages.sparkSession, path)
+    sound = F.when(F.col("error").isNotNull(), F.raise_error(F.col("error"))).otherwise(F.col("record_type"))
+    return back.withColumns({"record_type": sound, "key": F.col("key").cast(kind), "refers_to": F.col("refers_to").cast(kind)})
 
 
 #: Base32 in SQL: 40 groups of five bits of the digest's 160.
