@@ -99,3 +99,13 @@ def test_links_within_components(spark):
     got = sorted(((r.doc_id, r.n_links) for r in ngram_join.join(df).collect()), key=repr)
     assert [n for k, n in got if k in (1, 2, 3, 4)] == [2, 2, 2, 2]
     assert got == brute_links(rows)
+
+
+def test_links_in_blocks(spark, monkeypatch):
+    rnd = random.Random(8)
+    base = [f"v{i}" for i in range(120)]
+    rows = [(i, " ".join(edited(rnd, base, i % 5))) for i in range(60)] + [(100, " ".join(base))]
+    within = ngram_join.within_stars
+    monkeypatch.setattr(ngram_join, "within_stars", lambda star, members: within(star, members, block_members=7))
+    got = ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(((r.doc_id, r.n_links) for r in got.collect()), key=repr) == brute_links(rows)

@@ -6,9 +6,12 @@
    the star of one such leader.
 3. Answers within a star. Every two members are judged by how each differs from their leader, without their whole sets: with D the
    shingles that one of leader and member lacks, members a and b share |leader| - |leader without a| - |leader without b| + |D(a) and D(b)|.
-4. Index lists by position. All sets share one order of shingles: by hash, but very frequent ones last. Alike sets share a
-   shingle among their first (1 - t) * n + 1, and a shingle at position i leaves room for n - i shared ones. So list entries whose
-   size or position rules a link out are skipped, and so are those of one star. What is left is held against the first shingles of both
+   Members are dealt into blocks; a task gets two blocks, judges all their pairs at once by a matrix product over the differences that both
+   blocks have, and returns one count a member. No pair becomes a row, and a star of any size is many bounded tasks.
+4. Index lists by size and position. All sets share one order of shingles: by hash, but very frequent ones last. Alike sets share a
+   shingle among their first (1 - t) * n + 1, and a shingle at position i leaves room for n - i shared ones. Lists are cut into blocks by size class, and
+   an entry meets, as the smaller set, only the blocks that its position leaves room for; the others are skipped whole, and so is every block for entries beyond a
+   ninth of their set. Within blocks, entries whose size or position rules a link out are skipped, and so are those of one star. What is left is held against the first shingles of both
    sets, which bound the overlap again, and then verified on the whole sets.
 5. Components of all links, by alternating star steps.
 
@@ -206,26 +209,59 @@ def differences(x: pa.Array, y: pa.Array) -> pa.Array:
     return pa.array(out, pa.binary())
 
 
-def alike_by_differences(a: pa.Array, b: pa.Array) -> pa.Array:
-    """Whether two members of one star are alike, by their ``differences``."""
-    out = []
-    for x, y in zip(a, b, strict=True):
-        p, q = np.frombuffer(x.as_buffer(), _U), np.frombuffer(y.as_buffer(), _U)
-        leader, lack_p, lack_q, p, q = int(p[0]), int(p[1]), int(q[1]), p[2:], q[2:]
-        shared = leader - lack_p - lack_q + _shared(p, q)
-        union = 2 * leader + len(p) + len(q) - 2 * (lack_p + lack_q) - shared
-        out.append(shared * DEN >= NUM * union)
-    return pa.array(out, pa.bool_())
-
-
-def within_stars(star: DataFrame, members: DataFrame) -> DataFrame:
-    """(a, b), a < b: the members of one star that are alike. ``star``: (a, b) of one leader b for each member a, a pair that is alike."""
+def alike_counts(left: list[np.ndarray], right: list[np.ndarray], same: bool) -> tuple[np.ndarray, np.ndarray]:
+    """For each of the ``differences`` in both lists, how many in the other list are alike, all being of one leader; with ``same`` both are one list, and none counts for itself."""
+    shared = np.zeros((len(left), len(right)), np.float32)
+    both = np.intersect1d(np.concatenate([p[2:] for p in left]), np.concatenate([q[2:] for q in right]))
+    for lo in range(0, len(both), 2048):
+        some, sides = both[lo : lo + 2048], []
+        for members in (left, right):
+            has = np.zeros((len(members), len(some)), np.float32)
+            for i, p in enumerate(members):
+                at = np.searchsorted(some, p[2:])
+                at[at == len(some)] = 0
+                has[i, at[some[at] == p[2:]]] = 1
+            sides.append(has)
+        shared += sides[0] @ sides[1].T
+    leader = int(left[0][0])
+    lack = [np.array([int(p[1]) for p in m]) for m in (left, right)]
+    size = [leader - k + (np.array([len(p) - 2 for p in m]) - k) for k, m in zip(lack, (left, right), strict=True)]
+    shared = leader - lack[0][:, None] - lack[1][None, :] + shared.astype(np.int64)
+    yes = shared * DEN >= NUM * (size[0][:, None] + size[1][None, :] - shared)
+    if same:
+        np.fill_diagonal(yes, False)
+    return yes.sum(axis=1), yes.sum(axis=0)
+
+
+def within_stars(star: DataFrame, members: DataFrame, block_members: int = 1024, block_bytes: int = 1 << 23) -> DataFrame:
+    """(name, links): how many other members of its star a set is alike with. ``star``: (a, b) of one leader b for each member a, a pair that is alike."""
     x = star.join(members, star["a"] == members["name"]).select("a", "b", F.col("members").alias("x"))
     both = x.join(members, x["b"] == members["name"]).select("a", "b", "x", F.col("members").alias("y"))
     each = written(both.select("b", "a", F.arrow_udf(differences, "binary")("x", "y").alias("d")), "differences")
-    x, y = each.select("b", F.col("a").alias("x_name"), F.col("d").alias("x")), each.select("b", F.col("a").alias("y_name"), F.col("d").alias("y"))
-    met = x.join(y, "b").filter("x_name < y_name").filter(F.arrow_udf(alike_by_differences, "boolean")(F.col("x"), F.col("y")))
-    return met.select(F.col("x_name").alias("a"), F.col("y_name").alias("b"))
+    # Blocks of a star, so that two of them fit in a task; every member goes to each pair of blocks that its own is one of.
+    blocks = each.groupBy("b").agg(F.greatest(F.ceil(F.count(F.lit(1)) / block_members), F.ceil(F.sum(F.octet_length("d")) / block_bytes)).alias("blocks"), F.count(F.lit(1)).alias("n"))
+    dealt = each.join(blocks.filter("n > 1").drop("n"), "b").withColumn("own", F.pmod(F.xxhash64("a"), F.col("blocks")))
+    dealt = dealt.select("b", "a", "d", "own", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
+    dealt = dealt.select(F.xxhash64("b", F.least("own", "other"), F.greatest("own", "other")).alias("task"), "a", "d", (F.col("own") <= F.col("other")).alias("is_left"), (F.col("own") == F.col("other")).alias("same"))
+
+    def count(rows: pa.Table) -> pa.Table:
+        name, same = rows.column("a").to_numpy(), rows.column("same")[0].as_py()
+        lists = [np.frombuffer(d.as_buffer(), _U) for d in rows.column("d").combine_chunks()]
+        is_left = rows.column("is_left").to_numpy(zero_copy_only=False)
+        left, right = np.flatnonzero(is_left), np.flatnonzero(is_left) if same else np.flatnonzero(~is_left)
+        if not len(left) or not len(right):
+            return pa.table({"name": pa.array([], pa.int64()), "links": pa.array([], pa.int64())})
+        of_left, of_right = alike_counts([lists[i] for i in left], [lists[i] for i in right], same)
+        if same:
+            return pa.table({"name": name[left], "links": of_left.astype(np.int64)})
+        return pa.table({"name": np.concatenate((name[left], name[right])), "links": np.concatenate((of_left, of_right)).astype(np.int64)})
+
+    return dealt.groupBy("task").applyInArrow(count, "name long, links long").groupBy("name").agg(F.sum("links").alias("links"))
+
+
+def size_class(size: Column) -> Column:
+    """Classes by powers of two; the sizes of alike sets are of one class or of neighbouring ones."""
+    return F.floor(F.log2(size.cast("double"))).cast("int")
 
 
 def entries(table: DataFrame) -> DataFrame:
@@ -248,8 +284,12 @@ def entries(table: DataFrame) -> DataFrame:
 
 def candidates(index: DataFrame) -> DataFrame:
     """(a, b): pairs of different parts that neither sizes nor positions rule out."""
-    x = index.select("shingle", *[F.col(c).alias(f"x_{c}") for c in ("name", "size", "place", "part")])
-    y = index.select("shingle", *[F.col(c).alias(f"y_{c}") for c in ("name", "size", "place", "part")])
+    own = size_class(F.col("size"))
+    x = index.select("shingle", own.alias("class"), *[F.col(c).alias(f"x_{c}") for c in ("name", "size", "place", "part")])
+    # The smaller set of a pair meets, with a shingle at this place, sets of at most so many shingles: only blocks up to that size, and none from a ninth of its places on.
+    most = F.floor((F.col("size") - F.col("place")) * (NUM + DEN) / NUM) - F.col("size")
+    reach = F.when(size_class(most) > own, F.array(own, own + 1)).otherwise(F.array(own))
+    y = index.filter(most >= F.col("size")).select("shingle", F.explode(reach).alias("class"), *[F.col(c).alias(f"y_{c}") for c in ("name", "size", "place", "part")])
     both = F.col("x_size").cast("long") + F.col("y_size")
 
     def room(side: str) -> Column:
@@ -258,7 +298,7 @@ def candidates(index: DataFrame) -> DataFrame:
 
     larger = (F.col("x_size") > F.col("y_size")) | ((F.col("x_size") == F.col("y_size")) & (F.col("x_name") > F.col("y_name")))
     near = F.col("y_size") * F.lit(DEN) >= F.col("x_size") * F.lit(NUM)
-    met = x.join(y, [x["shingle"] == y["shingle"], larger, near, F.col("x_part") != F.col("y_part"), room("x"), room("y")])
+    met = x.join(y, [x["shingle"] == y["shingle"], x["class"] == y["class"], larger, near, F.col("x_part") != F.col("y_part"), room("x"), room("y")])
     return met.select(F.col("x_name").alias("a"), F.col("y_name").alias("b")).distinct()
 
 
@@ -296,8 +336,8 @@ def join(documents: DataFrame, key: str = "doc_id", text: str = "text", n: int =
         # Leaders of other permutations can share a star with their members; those pairs are counted within the star.
         apart = near.join(star.select("a", F.col("b").alias("x")), "a").join(star.select(F.col("a").alias("b"), F.col("b").alias("y")), "b", "left").filter("y IS NULL OR x != y")
         across = apart.select("a", "b").unionByName(far).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        every = across.unionByName(within_stars(star, members))
-        degree = every.select(F.explode(F.array("a", "b")).alias("name")).groupBy("name").agg(F.count(F.lit(1)).alias("links"))
+        ends = across.select(F.explode(F.array("a", "b")).alias("name")).groupBy("name").agg(F.count(F.lit(1)).alias("links"))
+        degree = ends.unionByName(within_stars(star, members)).groupBy("name").agg(F.sum("links").alias("links"))
         placed = placed.join(degree, "name", "left")
     least = placed.filter("size > 0").groupBy("root").agg(F.min("key").alias("least"))
     out = placed.join(least, "root", "left")
