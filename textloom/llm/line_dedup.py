@@ -2,8 +2,7 @@
 
 Documents are ordered by key. Each line that several documents hold leads back to the first of them, so that a line of n documents
 makes n - 1 pairs, not n squared, and copies in any number cost no more than their size. A document is paired along each of its
-shared lines, frequent or rare, unless ``rare_docs`` is given: then along those of at most so many documents and, where it has none, its
-rarest ones, and blocks met through no such line stay. Only lines that
+shared lines, however rare or frequent. Only lines that
 several documents hold are shipped for alignment. A matched block leaves the later document if it has at least
 ``min_block_chars`` characters. What is removed is judged on the input, and the first document with a line always keeps it.
 
@@ -95,7 +94,7 @@ def _identity(key: str, text: str) -> Column:
     return F.struct(F.col(key).alias("k"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("t"))
 
 
-def removals(documents: DataFrame, key: str = "doc_id", text: str = "text", rare_docs: int | None = None, min_block_chars: int = 30) -> DataFrame:
+def removals(documents: DataFrame, key: str = "doc_id", text: str = "text", min_block_chars: int = 30) -> DataFrame:
     """(id, gone): the numbers of the lines to be removed of each document that loses any; ``id`` is a struct of key and text hash."""
     lines = F.filter(
         F.transform(F.split(F.col(text), "\n", -1), lambda x, i: F.struct(i.alias("line"), F.rtrim(F.regexp_replace(x, r"\s+$", "")).alias("x"))),
@@ -103,13 +102,9 @@ def removals(documents: DataFrame, key: str = "doc_id", text: str = "text", rare
     )
     each = documents.select(_identity(key, text).alias("id"), F.posexplode(lines).alias("place", "l"))
     each = written(each.select("id", "place", F.col("l.line").alias("line"), F.xxhash64("l.x").alias("h"), F.length("l.x").alias("chars")).distinct(), "lines")
-    first = each.select("h", "id").distinct().groupBy("h").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("docs")).filter("docs > 1")
+    first = each.select("h", "id").distinct().groupBy("h").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("docs")).filter("docs > 1").drop("docs")
     shared = written(each.join(first, "h"), "shared")
-    links = shared.filter("first < id").select("id", "first", "docs").distinct()
-    if rare_docs is not None:
-        rarest = links.groupBy("id").agg(F.min("docs").alias("least"))
-        links = links.join(rarest, "id").filter(F.col("docs") <= F.greatest("least", F.lit(rare_docs)))
-    pairs = links.select("id", "first").distinct()
+    pairs = shared.filter("first < id").select("id", "first").distinct()
     spelled = shared.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("place", "line", "h", "chars"))).alias("s"))
     spelled = spelled.select("id", *[F.col("s").getField(c).alias(c) for c in ("h", "place", "line", "chars")])
     of_first = spelled.select(F.col("id").alias("first"), F.col("h").alias("ah"), F.col("place").alias("ap"))

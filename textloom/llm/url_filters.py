@@ -1,6 +1,6 @@
 """URL filters: host and path rules, and redirect equivalence that carries block decisions to aliases.
 
-All of it is DataFrame work inside the JVM. Pages are nodes named by host, path and query; canonical links and
+All of it is DataFrame work inside the JVM. Pages are nodes named by host, path (without dot segments) and query; all canonical links and
 refresh redirects in the markup are edges. Connected components come from alternating large-star and small-star
 steps, whose groups are minima and so combine before the shuffle; each step is written to the shared folder.
 
@@ -50,32 +50,48 @@ def best_rule(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -> t
     return name, verdict
 
 
+def without_dots(path: Column) -> Column:
+    """A path that starts with ``/`` without its ``.`` and ``..`` segments, as RFC 3986 removes them; other paths as they are."""
+    parts = F.split(path, "/")
+    kept = F.aggregate(
+        F.slice(parts, 2, F.greatest(F.size(parts), F.lit(1))),
+        F.array().cast("array<string>"),
+        lambda acc, x: F.when(x == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0)))).when(x == ".", acc).otherwise(F.array_append(acc, x)),
+    )
+    # A dot segment at the end leaves a folder.
+    end = F.when(F.element_at(parts, -1).isin(".", "..") & (F.size(kept) > 0), "/").otherwise("")
+    return F.when(F.startswith(path, F.lit("/")) & path.rlike(r"/\.\.?(/|$)"), F.concat(F.lit("/"), F.array_join(kept, "/"), end)).otherwise(path)
+
+
 def node(url: Column) -> Column:
-    """The name of a url's node: host, path and query, without scheme and fragment; null for an empty host."""
+    """The name of a url's node: host, path without dot segments, and query, without scheme and fragment; null for an empty host."""
     host = url_host(url)
-    return F.when(host != "", F.concat(host, F.regexp_extract(_rest(url), r"^[^/?#]*([^#]*)", 1)))
+    return F.when(host != "", F.concat(host, without_dots(url_path(url)), F.regexp_extract(_rest(url), r"^[^?#]*(\?[^#]*)", 1)))
 
 
 def resolved(link: Column, url: Column) -> Column:
-    """An absolute form of a link on the page ``url``."""
+    """An absolute form of a link on the page ``url``: with a scheme, of a host, of the host's root, a query of the page itself, a fragment of it, or from its folder on."""
     scheme, host = F.regexp_extract(url, r"^([^:/?#]*)://", 1), url_host(url)
     folder = F.regexp_extract(url_path(url), r"^(.*/)?", 0)
     link = F.replace(link, F.lit("&amp;"), F.lit("&"))
+    top = F.concat(scheme, F.lit("://"), host)
     return (
-        F.when(F.locate("://", link) > 0, link)
+        F.when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*://"), link)
         .when(F.startswith(link, F.lit("//")), F.concat(scheme, F.lit(":"), link))
-        .when(F.startswith(link, F.lit("/")), F.concat(scheme, F.lit("://"), host, link))
-        .otherwise(F.concat(scheme, F.lit("://"), host, F.when(folder == "", "/").otherwise(folder), link))
+        .when(F.startswith(link, F.lit("/")), F.concat(top, link))
+        .when(F.startswith(link, F.lit("?")), F.concat(top, url_path(url), link))
+        .when(F.startswith(link, F.lit("#")), url)
+        .otherwise(F.concat(top, F.when(folder == "", "/").otherwise(folder), link))
     )
 
 
 def page_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """Distinct (a, b) of different nodes joined by a canonical link or a refresh redirect."""
-    both = F.array(
-        F.regexp_extract(F.regexp_extract(html, CANONICAL, 0), HREF, 1),
-        F.regexp_extract(F.regexp_extract(html, REFRESH, 0), TARGET, 1),
-    )
-    links = pages.filter(F.col(html).rlike(f"{CANONICAL}|{REFRESH}")).select(F.col(url).alias("url"), F.explode(both).alias("link"))
+    """Distinct (a, b) of different nodes joined by a canonical link or a refresh redirect, of which a page may have several."""
+
+    def of(tag: str, attribute: str) -> Column:
+        return F.transform(F.regexp_extract_all(F.col(html), F.lit(tag), F.lit(0)), lambda t: F.regexp_extract(t, attribute, 1))
+
+    links = pages.filter(F.col(html).rlike(f"{CANONICAL}|{REFRESH}")).select(F.col(url).alias("url"), F.explode(F.concat(of(CANONICAL, HREF), of(REFRESH, TARGET))).alias("link"))
     ends = links.filter("link != ''").select(node(F.col("url")).alias("a"), node(resolved(F.col("link"), F.col("url"))).alias("b"))
     return ends.filter("a != b").distinct()
 
