@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from textloom.plans import curation, fields, ordered, parsing, retrieval, texts
+from textloom.plans import curation, fields, ordered, parsing, retrieval, taxonomy, texts
 from textloom.plans.base import REGISTRY
 
-__all__ = ["REGISTRY", "curation", "fields", "ordered", "parsing", "retrieval", "texts"]
+__all__ = ["REGISTRY", "curation", "fields", "ordered", "parsing", "retrieval", "taxonomy", "texts"]
