@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from textloom.plans import captures, curation, fields, ordered, parsing, retrieval, taxonomy, texts
+from textloom.plans import captures, curation, fields, ordered, parsing, reconcile, retrieval, taxonomy, texts
 from textloom.plans.base import REGISTRY
 
-__all__ = ["REGISTRY", "captures", "curation", "fields", "ordered", "parsing", "retrieval", "taxonomy", "texts"]
+__all__ = ["REGISTRY", "captures", "curation", "fields", "ordered", "parsing", "reconcile", "retrieval", "taxonomy", "texts"]

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -16,3 +17,10 @@ def shared_dir(spark: SparkSession) -> str:
         found = f"file://{tempfile.mkdtemp(prefix='textloom-')}"
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet to the shared folder and read it back, which cuts lineage and survives lost executors."""
+    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
