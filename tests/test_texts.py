@@ -18,5 +18,5 @@ def test_projection_of_whole_texts(spark, tmp_path):
     texts = ["Short text", "--- " * 80 + "Title behind two hundred characters", "Some words that stand in a long text " + "word and number 12345 " * 400, "one two three"]
     rows = [(i, t, None if i == 3 else len(t)) for i, t in enumerate(texts)]
     spark.createDataFrame(rows, "doc_id long, text string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
-    got = REGISTRY.builders()["text_projection_whole"](spark, str(tmp_path)).collect()
+    got = REGISTRY.builders()["text_projection"](spark, str(tmp_path)).collect()
     assert sorted(tuple(r) for r in got) == [(i, *mirror(t)) for i, t in enumerate(texts)]

@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from textloom.operators import ranking
+
 
 def clean_segments(rows: DataFrame, by: str, order: str, start: str, valid: Column) -> DataFrame:
     """Rows with ``reason`` (null if kept) and, for kept rows, dense ``clean_index`` and ``duration`` to the next kept start.
@@ -52,8 +54,10 @@ def hopping(spans: DataFrame, duration: str, size: int, overlap: int) -> DataFra
 
 def systematic_sample(rows: DataFrame, order: Sequence[str], k: int, by: Sequence[str] = ()) -> DataFrame:
     """Evenly spaced ``k`` rows of each key, ends included; halves round to even. With fewer rows, all of them."""
-    w = Window.partitionBy(*by).orderBy(*order)
-    numbered = rows.withColumn("_i", F.row_number().over(w) - 1).withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*by)))
+    key = F.struct(*by) if by else F.lit(0)
+    numbered = ranking.numbered(rows.withColumn("_key", F.xxhash64(key)), "_key", list(order), "_i").withColumn("_i", F.col("_i") - 1)
+    sizes = rows.withColumn("_key", F.xxhash64(key)).groupBy("_key").agg(F.count(F.lit(1)).alias("_n"))
+    numbered = numbered.join(sizes, "_key").drop("_key")
     picks = F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: F.bround(i * (F.col("_n") - 1) / F.lit(max(k - 1, 1)), 0).cast("int"))
     return numbered.filter((F.col("_n") <= k) | F.array_contains(picks, F.col("_i"))).drop("_i", "_n")
 

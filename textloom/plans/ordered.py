@@ -6,6 +6,7 @@ from pyspark.sql import SparkSession, Window
 from pyspark.sql import functions as F
 
 from textloom.operators import graphs, joins, sequences
+from textloom.operators import vectors as vectors_nearest
 from textloom.plans.base import query
 from textloom.sources.tables import table
 from textloom.streaming import events as stream
@@ -16,16 +17,16 @@ def _turns(spark: SparkSession, sf_dir: str):
 
 
 @query("band_neighbours", """
-SELECT a.conv_id, a.turn AS anchor, b.turn, b.role FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND b.turn BETWEEN a.turn - 2 AND a.turn + 2 WHERE a.turn % 5 = 0
+SELECT a.conv_id, a.turn AS anchor, b.turn, b.role FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND b.turn BETWEEN a.turn - 2 AND a.turn + 2 WHERE length(a.text) < 120
 """, "J11 J12 W02 W15 W18")
 def band_neighbours(spark, sf_dir):
     turns = _turns(spark, sf_dir)
-    return joins.band(turns.select("conv_id", "turn", "role"), turns.filter("turn % 5 = 0"), ["conv_id"], "turn", 2).select("conv_id", "anchor", "turn", "role")
+    return joins.band(turns.select("conv_id", "turn", "role"), turns.filter(F.length("text") < 120), ["conv_id"], "turn", 2).select("conv_id", "anchor", "turn", "role")
 
 
 @query("neighbour_window", """
 SELECT conv_id, turn, string_agg(role, '|' ORDER BY turn) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING) AS roles FROM conversations
-""", "W02 V07")
+""", "W02")
 def neighbour_window(spark, sf_dir):
     w = Window.partitionBy("conv_id").orderBy("turn").rowsBetween(-1, 1)
     return _turns(spark, sf_dir).select("conv_id", "turn", F.array_join(F.collect_list("role").over(w), "|").alias("roles"))
@@ -91,7 +92,7 @@ WITH RECURSIVE n AS (SELECT conv_id, turn, length(text) AS len, row_number() OVE
 r AS (SELECT conv_id, turn, i, 0 AS chunk, len + 80 AS used FROM n WHERE i = 1
       UNION ALL SELECT n.conv_id, n.turn, n.i, CASE WHEN r.used + n.len + 80 > 600 THEN r.chunk + 1 ELSE r.chunk END, CASE WHEN r.used + n.len + 80 > 600 THEN n.len + 80 ELSE r.used + n.len + 80 END FROM r JOIN n ON n.conv_id = r.conv_id AND n.i = r.i + 1)
 SELECT conv_id, turn, CAST(chunk AS INTEGER) AS chunk FROM r
-""", "W03 W04 W07 S09")
+""", "W03 W07")
 def greedy_chunks(spark, sf_dir):
     rows = _turns(spark, sf_dir).select("conv_id", "turn", F.length("text").alias("len"))
     return sequences.greedy_chunks(rows, "conv_id", "turn", "len", 600, 80).select("conv_id", "turn", "chunk")
@@ -100,7 +101,7 @@ def greedy_chunks(spark, sf_dir):
 @query("ledger_disposition", """
 WITH c AS (SELECT conv_id, turn, CASE WHEN turn % 7 = 0 THEN 'manual' WHEN role = 'assistant' THEN 'captured' WHEN contains(text, '?') THEN 'question' WHEN length(text) < 50 THEN 'low_signal' ELSE 'unreviewed' END AS disposition FROM conversations)
 SELECT conv_id, disposition, count(*) AS n, min(turn) AS first_turn, round(count(*) * 1.0 / sum(count(*)) OVER (PARTITION BY conv_id), 6) AS share FROM c GROUP BY 1, 2
-""", "L01 L03 L09 L10 G10")
+""", "L01 L09 G10")
 def ledger_disposition(spark, sf_dir):
     kind = F.when(F.col("turn") % 7 == 0, "manual").when(F.col("role") == "assistant", "captured").when(F.contains("text", F.lit("?")), "question").when(F.length("text") < 50, "low_signal").otherwise("unreviewed")
     grouped = _turns(spark, sf_dir).select("conv_id", "turn", kind.alias("disposition")).groupBy("conv_id", "disposition").agg(F.count(F.lit(1)).alias("n"), F.min("turn").alias("first_turn"))
@@ -111,7 +112,7 @@ def ledger_disposition(spark, sf_dir):
 WITH b AS (SELECT conv_id, turn, role, length(text) AS len FROM conversations WHERE turn % 5 <> 4), a AS (SELECT conv_id, turn, CASE WHEN conv_id % 10 = 0 THEN 'edited' ELSE role END AS role, length(text) + CASE WHEN conv_id % 4 = 0 THEN 1 ELSE 0 END AS len FROM conversations WHERE turn % 5 <> 3)
 SELECT coalesce(b.conv_id, a.conv_id) AS conv_id, coalesce(b.turn, a.turn) AS turn, CASE WHEN b.conv_id IS NULL THEN 'added' WHEN a.conv_id IS NULL THEN 'removed' ELSE 'changed' END AS status, CASE WHEN b.conv_id IS NULL OR a.conv_id IS NULL THEN '' ELSE concat_ws(',', CASE WHEN b.role IS DISTINCT FROM a.role THEN 'role' END, CASE WHEN b.len IS DISTINCT FROM a.len THEN 'len' END) END AS changed
 FROM b FULL JOIN a ON a.conv_id = b.conv_id AND a.turn = b.turn WHERE b.conv_id IS NULL OR a.conv_id IS NULL OR b.role IS DISTINCT FROM a.role OR b.len IS DISTINCT FROM a.len
-""", "J18 J23 T05 SNK04")
+""", "J18 J23 T05")
 def snapshot_diff(spark, sf_dir):
     turns = _turns(spark, sf_dir)
     before = turns.filter("turn % 5 <> 4").select("conv_id", "turn", "role", F.length("text").alias("len"))
@@ -121,18 +122,19 @@ def snapshot_diff(spark, sf_dir):
 
 
 @query("catalog_upsert", """
-WITH n AS (SELECT o_custkey AS c_custkey, round(max(o_totalprice), 2) AS c_acctbal, CAST(NULL AS VARCHAR) AS c_mktsegment FROM orders WHERE o_orderkey % 3 = 0 GROUP BY 1), o AS (SELECT c_custkey, c_acctbal, c_mktsegment FROM customer WHERE c_custkey % 2 = 0)
+WITH n AS (SELECT o_custkey AS c_custkey, round(max(o_totalprice), 2) AS c_acctbal, CAST(NULL AS VARCHAR) AS c_mktsegment FROM (SELECT * REPLACE (CASE WHEN o_custkey % 3 = 0 THEN o_custkey + 1000000 ELSE o_custkey END AS o_custkey) FROM orders) GROUP BY 1), o AS (SELECT c_custkey, c_acctbal, c_mktsegment FROM customer)
 SELECT coalesce(n.c_custkey, o.c_custkey) AS c_custkey, coalesce(n.c_acctbal, o.c_acctbal) AS c_acctbal, coalesce(n.c_mktsegment, o.c_mktsegment) AS c_mktsegment, CASE WHEN o.c_custkey IS NULL THEN 'inserted' WHEN n.c_custkey IS NULL THEN 'kept' ELSE 'updated' END AS origin FROM o FULL JOIN n ON o.c_custkey = n.c_custkey
-""", "J19 T06 S14 SNK02")
+""", "J19 T06")
 def catalog_upsert(spark, sf_dir):
-    new = table(spark, sf_dir, "orders").filter("o_orderkey % 3 = 0").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.round(F.max("o_totalprice"), 2).alias("c_acctbal")).withColumn("c_mktsegment", F.lit(None).cast("string"))
-    return joins.upsert(table(spark, sf_dir, "customer").filter("c_custkey % 2 = 0"), new, "c_custkey", ["c_acctbal", "c_mktsegment"])
+    known = F.when(F.col("o_custkey") % 3 == 0, F.col("o_custkey") + 1_000_000).otherwise(F.col("o_custkey"))
+    new = table(spark, sf_dir, "orders").groupBy(known.alias("c_custkey")).agg(F.round(F.max("o_totalprice"), 2).alias("c_acctbal")).withColumn("c_mktsegment", F.lit(None).cast("string"))
+    return joins.upsert(table(spark, sf_dir, "customer"), new, "c_custkey", ["c_acctbal", "c_mktsegment"])
 
 
 @query("asof_chapter", """
 WITH c AS (SELECT DISTINCT user_id, ts, event_id AS chapter FROM events WHERE event_type = 'purchase')
 SELECT e.event_id, e.user_id, c.chapter FROM events e ASOF LEFT JOIN (SELECT user_id, ts, max(chapter) AS chapter FROM c GROUP BY 1, 2) c ON e.user_id = c.user_id AND e.ts >= c.ts
-""", "J08 J17 SRC11")
+""", "J08")
 def asof_chapter(spark, sf_dir):
     events = table(spark, sf_dir, "events")
     marks = events.filter("event_type = 'purchase'").groupBy("user_id", "ts").agg(F.max("event_id").alias("chapter"))
@@ -154,7 +156,7 @@ def interval_owner(spark, sf_dir):
 @query("sessions_gap", """
 WITH l AS (SELECT user_id, epoch(ts) AS t, epoch(ts) - lag(epoch(ts)) OVER (PARTITION BY user_id ORDER BY ts) AS gap FROM events), s AS (SELECT *, sum(CASE WHEN gap IS NULL OR gap > 21600 THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY t) AS session FROM l)
 SELECT user_id, CAST(session AS BIGINT) AS session, count(*) AS n, round(max(t) - min(t), 3) AS seconds FROM s GROUP BY 1, 2
-""", "W14 W19 T08 T09")
+""", "W14 W19 T09")
 def sessions_gap(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("user_id", F.col("ts").cast("timestamp").cast("double").alias("t"))
     return sequences.sessions(events, ["user_id"], "t", 21600).groupBy("user_id", "session").agg(F.count(F.lit(1)).alias("n"), F.round(F.max("t") - F.min("t"), 3).alias("seconds"))
@@ -170,7 +172,7 @@ def dedupe_max_duration(spark, sf_dir):
 
 @query("props_json", """
 SELECT event_type, CAST(props->>'k' AS BIGINT) % 10 AS k, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2
-""", "SRC01 SRC03 SRC08 SRC16 G14")
+""")
 def props_json(spark, sf_dir):
     events = table(spark, sf_dir, "events").withColumn("k", F.get_json_object("props", "$.k").try_cast("long") % 10)
     return events.groupBy("event_type", "k").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 4).alias("total"))
@@ -181,7 +183,7 @@ SELECT strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') AS start, event_type
 """
 
 
-@query("stream_window_counts", STREAM, "T01 T09")
+@query("stream_window_counts", STREAM, "T09")
 def stream_window_counts(spark, sf_dir):
     return stream.finished(stream.window_counts(stream.stream(spark, sf_dir)))
 
@@ -191,25 +193,27 @@ def stream_once(spark, sf_dir):
     return stream.finished(stream.once(stream.stream(spark, sf_dir), ["event_id"]).select("event_id", "user_id", "event_type"), "append")
 
 
-EDGES = "SELECT DISTINCT o_custkey AS child, o_custkey // 3 AS parent FROM orders WHERE o_custkey > 0 AND o_custkey % 5 <> 0"
+EDGES = "SELECT DISTINCT o_custkey AS child, o_custkey // 3 AS parent FROM orders WHERE o_custkey > 0"
 
 
 @query("relation_descendants", f"""
 WITH RECURSIVE e AS ({EDGES}), r AS (SELECT parent AS ancestor, child AS node, 1 AS depth FROM e UNION ALL SELECT r.ancestor, e.child, r.depth + 1 FROM r JOIN e ON e.parent = r.node WHERE r.depth < 20)
 SELECT ancestor, node, min(depth) AS depth FROM r GROUP BY 1, 2
-""", "L04 L05 L11")
+""", "L11")
 def relation_descendants(spark, sf_dir):
-    edges = table(spark, sf_dir, "orders").filter("o_custkey > 0 AND o_custkey % 5 <> 0").select(F.col("o_custkey").alias("child"), F.floor(F.col("o_custkey") / 3).alias("parent")).distinct()
+    edges = table(spark, sf_dir, "orders").filter("o_custkey > 0").select(F.col("o_custkey").alias("child"), F.floor(F.col("o_custkey") / 3).alias("parent")).distinct()
     return graphs.descendants(edges)
 
 
 @query("relation_defects", """
-WITH e AS (SELECT o_orderkey % 97 AS child, o_custkey AS parent FROM orders WHERE o_orderkey % 11 = 0), n AS (SELECT c_custkey FROM customer WHERE c_custkey % 2 = 0)
+WITH e AS (SELECT o_orderkey AS child, 1 AS parent FROM orders UNION ALL SELECT o_orderkey, CASE WHEN o_custkey % 10 = 0 THEN -o_custkey - 1 ELSE o_custkey // 400 END AS parent FROM orders), n AS (SELECT c_custkey FROM customer)
 SELECT DISTINCT child, 'dangling_parent' AS defect FROM e WHERE parent NOT IN (SELECT c_custkey FROM n) UNION ALL SELECT child, 'several_parents' FROM (SELECT DISTINCT * FROM e) GROUP BY child HAVING count(*) > 1
-""", "L04 L09")
+""", "L09")
 def relation_defects(spark, sf_dir):
-    edges = table(spark, sf_dir, "orders").filter("o_orderkey % 11 = 0").select((F.col("o_orderkey") % 97).alias("child"), F.col("o_custkey").alias("parent"))
-    return graphs.relation_defects(edges, table(spark, sf_dir, "customer").filter("c_custkey % 2 = 0").select(F.col("c_custkey").alias("node")))
+    parent = F.when(F.col("o_custkey") % 10 == 0, -F.col("o_custkey") - 1).otherwise(F.floor(F.col("o_custkey") / 400))
+    orders = table(spark, sf_dir, "orders")
+    edges = orders.select(F.col("o_orderkey").alias("child"), parent.alias("parent")).unionByName(orders.select("o_orderkey", F.lit(1).cast("long")).toDF("child", "parent"))
+    return graphs.relation_defects(edges, table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("node")))
 
 
 @query("pricing_summary", """
@@ -233,15 +237,13 @@ def nation_revenue(spark, sf_dir):
 
 
 @query("vector_neighbours", """
-WITH q AS (SELECT vec_id AS q, embedding AS e FROM embeddings WHERE vec_id < 5), s AS (SELECT q.q, v.vec_id, round(CAST(list_dot_product(CAST(q.e AS DOUBLE[]), CAST(v.embedding AS DOUBLE[])) AS DOUBLE), 5) AS dot FROM q, embeddings v WHERE v.vec_id <> q.q)
+WITH q AS (SELECT vec_id AS q, embedding AS e FROM embeddings WHERE vec_id % 50 = 0), s AS (SELECT q.q, v.vec_id, round(CAST(list_dot_product(CAST(q.e AS DOUBLE[]), CAST(v.embedding AS DOUBLE[])) AS DOUBLE), 5) AS dot FROM q, embeddings v WHERE v.vec_id <> q.q)
 SELECT q, vec_id, dot FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY dot DESC, vec_id) AS rn FROM s) WHERE rn <= 5
 """, "K01")
 def vector_neighbours(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings")
-    wanted = F.broadcast(vectors.filter("vec_id < 5").select(F.col("vec_id").alias("q"), F.col("embedding").alias("e")))  # five vectors
-    dot = F.aggregate(F.zip_with("e", "embedding", lambda a, b: a.cast("double") * b.cast("double")), F.lit(0.0), lambda acc, x: acc + x)
-    scored = vectors.join(wanted, F.col("q") != F.col("vec_id")).select("q", "vec_id", F.round(dot, 5).alias("dot"))
-    return scored.withColumn("rn", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("dot"), "vec_id"))).filter("rn <= 5").drop("rn")
+    wanted = vectors.filter("vec_id % 50 = 0").select(F.col("vec_id").alias("q"), F.col("embedding").alias("e"))
+    return vectors_nearest.nearest(vectors, wanted, "vec_id", "embedding", 5)
 
 
 UNIT_ROWS = """

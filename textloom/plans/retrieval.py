@@ -23,7 +23,7 @@ PHRASE = "thing ation the"
     s AS (SELECT doc_id, 10.0 * len(list_intersect(t, ['thing', 'ation', 'the'])) + CASE WHEN contains(f, '{PHRASE}') THEN 2 ELSE 0 END + c AS score FROM q)
     SELECT doc_id, round(CAST(score AS DOUBLE), 4) AS score FROM s WHERE score > 1 ORDER BY round(score, 4) DESC, doc_id LIMIT 20
     """,
-    "P01 K01 F01 F04",
+    "K01 F01 F04",
 )
 def search_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")

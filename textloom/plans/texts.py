@@ -27,17 +27,11 @@ def signals(text: str):
 
 
 @query("text_projection", f"""
-SELECT doc_id, {S.slug('left(text, 200)')} AS slug, CASE WHEN length(trim(regexp_replace(text, '\\s+', ' ', 'g'))) > 70 THEN regexp_replace(left(trim(regexp_replace(text, '\\s+', ' ', 'g')), 70), '\\s\\S*$', '') || '...' ELSE trim(regexp_replace(text, '\\s+', ' ', 'g')) END AS excerpt,
+SELECT doc_id, {S.slug('text')} AS slug, CASE WHEN length(trim(regexp_replace(text, '\\s+', ' ', 'g'))) > 70 THEN regexp_replace(left(trim(regexp_replace(text, '\\s+', ' ', 'g')), 70), '\\s\\S*$', '') || '...' ELSE trim(regexp_replace(text, '\\s+', ' ', 'g')) END AS excerpt,
        CASE WHEN instr({S.fold('text')}, ' in ') >= 25 THEN left({S.fold('text')}, instr({S.fold('text')}, ' in ') - 1) ELSE {S.fold('text')} END AS thesis, len({S.tokens('text')}) AS n_tokens
-FROM documents WHERE n_chars < 4000
+FROM documents
 """, "F01 F02 F03 F04 F14 F15")
 def text_projection(spark, sf_dir):
-    return projected(_docs(spark, sf_dir).filter("n_chars < 4000"), F.left("text", F.lit(200)))
-
-
-@query("text_projection_whole", None, "F01 F02 F03 F04 F14 F15")
-def text_projection_whole(spark, sf_dir):
-    """All documents with slugs of their whole texts; ``text_projection`` follows its SQL, which leaves out long ones."""
     return projected(_docs(spark, sf_dir), F.col("text"))
 
 
@@ -69,12 +63,12 @@ def title_distribution(spark, sf_dir):
 
 
 @query("exact_duplicate_groups", f"""
-SELECT sha256({S.fold('text')}) AS digest, count(*) AS n, min(doc_id) AS retained, string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY doc_id) AS members FROM documents GROUP BY 1 HAVING count(*) > 1
+SELECT doc_id, sha256({S.fold('text')}) AS digest, count(*) OVER (PARTITION BY sha256({S.fold('text')})) AS n, min(doc_id) OVER (PARTITION BY sha256({S.fold('text')})) AS retained FROM documents QUALIFY n > 1
 """, "J14 G17 F24 S13")
 def exact_duplicate_groups(spark, sf_dir):
     rows = _docs(spark, sf_dir).select("doc_id", F.sha2(T.fold(F.col("text")), 256).alias("digest"))
-    members = F.array_join(F.transform(F.sort_array(F.collect_list("doc_id")), lambda x: x.cast("string")), ",")
-    return rows.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("retained"), members.alias("members")).filter("n > 1")
+    groups = rows.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("retained")).filter("n > 1")
+    return rows.join(groups, "digest").select("doc_id", "digest", "n", "retained")
 
 
 @query("best_per_key", f"""
@@ -89,16 +83,16 @@ def best_per_key(spark, sf_dir):
 @query("jaccard_pairs", f"""
 WITH s AS (SELECT doc_id, {S.tokens('text')} AS t FROM documents)
 SELECT a.doc_id AS a, b.doc_id AS b, round({S.jaccard('a.t', 'b.t')}, 6) AS similarity FROM s a JOIN s b ON a.doc_id < b.doc_id WHERE len(a.t) > 0 AND least(len(a.t), len(b.t)) >= 0.86 * greatest(len(a.t), len(b.t)) AND {S.jaccard('a.t', 'b.t')} >= 0.86
-""", "S04 S05 J16 J20")
+""", "S04")
 def jaccard_pairs(spark, sf_dir):
     rows = _docs(spark, sf_dir).select("doc_id", T.tokens(F.col("text")).alias("tokens"))
     return dedupe.similar_pairs(rows, "doc_id", "tokens", 0.86).withColumn("similarity", F.round("similarity", 6))
 
 
-@query("leader_clusters", None, "S06 W13 W17")
+@query("leader_clusters", None, "S06")
 def leader_clusters(spark, sf_dir):
-    rows = _docs(spark, sf_dir).select(F.concat_ws("/", "lang", F.left(T.fold(F.col("text")), F.lit(6))).alias("block"), "doc_id", T.tokens(F.col("text")).alias("tokens"))
-    return dedupe.leader_clusters(rows, "block", "doc_id", "tokens", 0.62)
+    rows = _docs(spark, sf_dir).select("doc_id", T.tokens(F.col("text")).alias("tokens"))
+    return dedupe.leader_clusters(rows, "doc_id", "tokens", 0.62)
 
 
 @query("mmr_pack", None, "K02 K03")
@@ -106,35 +100,37 @@ def mmr_pack(spark, sf_dir):
     docs = _docs(spark, sf_dir).withColumn("tokens", T.tokens(F.col("text")))
     terms = T.tokens(F.lit("thing ation the of and in stra"))
     scored = docs.withColumn("relevance", F.size(F.array_intersect("tokens", terms)) * 3.0 + F.least(F.size("tokens") / 400.0, F.lit(1.0))).filter("relevance > 1")
-    pool = scored.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("relevance"), "doc_id"))).filter("r <= 200")
-    return dedupe.diverse(pool.select("lang", "doc_id", "relevance", "tokens", "source"), "lang", "doc_id", "relevance", "tokens", "source", 12, 0.3, 3)
+    thesis = T.slug(F.split("text", "\n")[0], 40)
+    rows = scored.select("lang", "doc_id", "relevance", "tokens", "source", thesis.alias("thesis"))
+    return dedupe.diverse_top(rows, "lang", "doc_id", "relevance", "tokens", "source", 12, 0.3, 3, "thesis")
 
 
 @query("strategy_score", f"""
 WITH s AS (SELECT d.doc_id, 8 * CASE WHEN lang = 'en' THEN 1 ELSE 0 END + 5 * (CASE WHEN contains({S.fold('text')}, 'ation') THEN 1 ELSE 0 END + CASE WHEN contains({S.fold('text')}, 'stra') THEN 1 ELSE 0 END) + 3 * len(list_intersect({S.tokens('text')}, ['the', 'thing', 'and'])) + 0.5 * coalesce(quality, 0) AS score FROM documents d LEFT JOIN labels USING (doc_id))
 SELECT doc_id, round(score, 4) AS score FROM s WHERE score > 0 ORDER BY round(score, 4) DESC, doc_id LIMIT 50
-""", "K02 C18")
+""", "K02")
 def strategy_score(spark, sf_dir):
     rows = _docs(spark, sf_dir).join(table(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id", "left")
     folded = T.fold(F.col("text"))
     words = sum((F.contains(folded, F.lit(w)).cast("int") for w in ("ation", "stra")), F.lit(0))
     hits = F.size(F.array_intersect(T.tokens(F.col("text")), F.array(*map(F.lit, ("the", "thing", "and")))))
     score = F.when(F.col("lang") == "en", 8).otherwise(0) + words * 5 + hits * 3 + F.coalesce(F.col("quality") * 0.5, F.lit(0.0))
-    return rows.select("doc_id", F.round(score, 4).alias("score")).filter("score > 0").orderBy(F.desc("score"), "doc_id").limit(50)
+    # Rows of no score come last, so the filter can wait until after the limit: before it, the score would be computed twice.
+    return rows.select("doc_id", F.round(score, 4).alias("score")).orderBy(F.desc("score"), "doc_id").limit(50).filter("score > 0")
 
 
 @query("cap_per_cluster", """
 WITH r AS (SELECT doc_id, source, n_chars, row_number() OVER (PARTITION BY source ORDER BY n_chars DESC, doc_id) AS in_group FROM documents),
 p AS (SELECT *, 1 AS pass FROM (SELECT * FROM r WHERE in_group <= 3 ORDER BY n_chars DESC, doc_id LIMIT 40) UNION ALL SELECT *, 2 FROM (SELECT * FROM r WHERE in_group > 3 ORDER BY n_chars DESC, doc_id LIMIT 40))
 SELECT doc_id, source, in_group, pass FROM p ORDER BY pass, n_chars DESC, doc_id LIMIT 40
-""", "K04 K09")
+""", "K04")
 def cap_per_cluster(spark, sf_dir):
     return ranking.capped(_docs(spark, sf_dir).select("doc_id", "source", "n_chars"), "source", [F.desc("n_chars"), F.col("doc_id")], 3, 40).select("doc_id", "source", "in_group", "pass")
 
 
 @query("hash_sample", """
 SELECT doc_id, sha256(CAST(doc_id AS VARCHAR)) AS digest FROM documents ORDER BY digest LIMIT 50
-""", "K05")
+""")
 def hash_sample(spark, sf_dir):
     return _docs(spark, sf_dir).select("doc_id", F.sha2(F.col("doc_id").cast("string"), 256).alias("digest")).orderBy("digest").limit(50)
 
@@ -150,7 +146,7 @@ def systematic_sample(spark, sf_dir):
 @query("signals_inventory", f"""
 WITH s AS (SELECT doc_id, list_filter([{SIGNAL_ORDER}], lambda x: x IS NOT NULL) AS s FROM documents)
 SELECT doc_id, array_to_string(s, ',') AS signals, len(s) AS n FROM s WHERE len(s) > 0
-""", "P07 P08 P09 P10 P13 P14")
+""", "P07 P08 P09 P10 P13")
 def signals_inventory(spark, sf_dir):
     rows = _docs(spark, sf_dir).select("doc_id", signals("text").alias("s")).filter(F.size("s") > 0)
     return rows.select("doc_id", F.array_join("s", ",").alias("signals"), F.size("s").cast("long").alias("n"))
@@ -185,7 +181,7 @@ def rubric(spark, sf_dir):
     return rows.select("doc_id", F.least(F.lit(25), F.greatest(F.lit(0), evidence)).alias("evidence"), F.least(F.lit(25), specific).alias("specificity"), applies.alias("applicability"))
 
 
-@query("rubric_score", f"SELECT doc_id, evidence, specificity, applicability, evidence + specificity + applicability AS score FROM ({RUBRIC})", "C07 C08 C09 C10 C11 C12 C16")
+@query("rubric_score", f"SELECT doc_id, evidence, specificity, applicability, evidence + specificity + applicability AS score FROM ({RUBRIC})", "C07 C08 C09 C10")
 def rubric_score(spark, sf_dir):
     return rubric(spark, sf_dir).withColumn("score", F.col("evidence") + F.col("specificity") + F.col("applicability"))
 
@@ -203,7 +199,7 @@ def score_histogram(spark, sf_dir):
 @query("numeric_mentions", r"""
 WITH m AS (SELECT doc_id, unnest(regexp_extract_all(text, '[$€£]\s?[0-9][0-9.,]*|[0-9][0-9.,]*\s?%|[0-9]+x\b|[0-9][0-9.,]*')) AS raw FROM documents)
 SELECT doc_id, CASE WHEN regexp_matches(raw, '[$€£]') THEN 'currency' WHEN contains(raw, '%') THEN 'percent' WHEN contains(raw, 'x') THEN 'ratio' ELSE 'bare' END AS kind, count(*) AS n, min(raw) AS least FROM m GROUP BY 1, 2
-""", "F16 F17 F18 F19 L06 L08")
+""", "F16")
 def numeric_mentions(spark, sf_dir):
     found = F.regexp_extract_all("text", F.lit(r"[$€£]\s?[0-9][0-9.,]*|[0-9][0-9.,]*\s?%|[0-9]+x\b|[0-9][0-9.,]*"), 0)
     rows = _docs(spark, sf_dir).select("doc_id", F.explode(found).alias("raw"))
@@ -214,7 +210,7 @@ def numeric_mentions(spark, sf_dir):
 @query("audit_violations", """
 WITH r AS (SELECT d.doc_id, text, n_chars, quality, toxic, count(*) OVER (PARTITION BY text) AS copies FROM documents d LEFT JOIN labels USING (doc_id))
 SELECT doc_id, unnest(list_filter([CASE WHEN trim(text) = '' THEN 'empty_text' END, CASE WHEN n_chars <> length(text) THEN 'length_mismatch' END, CASE WHEN copies > 1 THEN 'duplicate_text' END, CASE WHEN quality IS NULL THEN 'missing_label' END, CASE WHEN toxic = 1 AND quality = 1 THEN 'toxic_but_good' END], lambda x: x IS NOT NULL)) AS rule FROM r
-""", "V01 V02 V04 V05 V06 L12 P11 P12")
+""", "V01 V04 V05 V06 L12")
 def audit_violations(spark, sf_dir):
     rows = _docs(spark, sf_dir).join(table(spark, sf_dir, "labels"), "doc_id", "left")
     copies = rows.groupBy(F.sha2("text", 256).alias("digest")).agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1")
@@ -225,11 +221,11 @@ def audit_violations(spark, sf_dir):
 
 
 @query("evidence_traceability", """
-WITH e AS (SELECT item_id, left(text, 40) AS quote, item_id * 7 AS doc_id FROM benchmark)
+WITH e AS (SELECT item_id, text AS quote, item_id * 7 AS doc_id FROM benchmark)
 SELECT item_id, e.doc_id, CASE WHEN d.doc_id IS NULL THEN 'missing_segment' ELSE 'quote_mismatch' END AS problem FROM e LEFT JOIN documents d USING (doc_id) WHERE d.doc_id IS NULL OR NOT contains(d.text, quote)
-""", "J06 J07 L05 L13")
+""", "J06 J07 L13")
 def evidence_traceability(spark, sf_dir):
-    evidence = table(spark, sf_dir, "benchmark").select("item_id", F.left("text", F.lit(40)).alias("quote"), (F.col("item_id") * 7).alias("doc_id"))
+    evidence = table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("quote"), (F.col("item_id") * 7).alias("doc_id"))
     return joins.traceability(evidence, _docs(spark, sf_dir), "doc_id", "quote", "text").select("item_id", "doc_id", "problem")
 
 
@@ -238,7 +234,7 @@ SELECT d.doc_id, source, CASE WHEN l.doc_id IS NULL THEN 'missing' WHEN quality
 """
 
 
-@query("citation_classes", f"SELECT source, class, count(*) AS n FROM ({CITATION}) GROUP BY GROUPING SETS ((source, class), (class))", "J04 G12 G13 F22")
+@query("citation_classes", f"SELECT source, class, count(*) AS n FROM ({CITATION}) GROUP BY GROUPING SETS ((source, class), (class))", "J04 G12 G13")
 def citation_classes(spark, sf_dir):
     rows = _docs(spark, sf_dir).join(table(spark, sf_dir, "labels").withColumn("found", F.lit(True)), "doc_id", "left")
     kind = F.when(F.col("found").isNull(), "missing").when(F.col("quality") == 0, "low_score").when(F.col("lang") == "en", "on_tag").when(F.col("toxic") == 0, "reviewed_cross_tag").otherwise("weak_cross_tag")
@@ -249,18 +245,17 @@ def citation_classes(spark, sf_dir):
 @query("category_queue", f"""
 WITH c AS (SELECT doc_id, n_chars, CASE WHEN contains({S.fold('text')}, 'licen') THEN 1 WHEN contains({S.fold('text')}, 'thing') THEN 2 WHEN contains({S.fold('text')}, 'ation') THEN 3 ELSE 9 END AS category FROM documents)
 SELECT doc_id, category, row_number() OVER (PARTITION BY category ORDER BY nullif(n_chars, 0) NULLS LAST, doc_id) AS queue_rank FROM c
-""", "K07 K08 K10 K11 P05 P06")
+""", "K07 K08")
 def category_queue(spark, sf_dir):
     folded = T.fold(F.col("text"))
     category = F.when(F.contains(folded, F.lit("licen")), 1).when(F.contains(folded, F.lit("thing")), 2).when(F.contains(folded, F.lit("ation")), 3).otherwise(9)
-    rows = _docs(spark, sf_dir).select("doc_id", "n_chars", category.alias("category"))
-    order = Window.partitionBy("category").orderBy(F.nullif("n_chars", F.lit(0)).asc_nulls_last(), "doc_id")
-    return rows.select("doc_id", "category", F.row_number().over(order).alias("queue_rank"))
+    rows = _docs(spark, sf_dir).select("doc_id", category.alias("category"), F.coalesce(F.nullif("n_chars", F.lit(0)), F.lit(2**62)).alias("length"))
+    return ranking.numbered(rows, "category", ["length", "doc_id"], "queue_rank").select("doc_id", "category", "queue_rank")
 
 
 @query("html_blocks", r"""
 SELECT page_id, trim(regexp_replace(replace(replace(replace(replace(replace(replace(regexp_replace(html, '<[^>]+>', ' ', 'g'), '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&'), '\s+', ' ', 'g')) AS text, len(regexp_extract_all(html, '<p>')) AS n_blocks, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title FROM pages
-""", "F13 SRC19 SRC18")
+""", "F13")
 def html_blocks(spark, sf_dir):
     pages = table(spark, sf_dir, "pages")
     return pages.select("page_id", T.strip_html(F.col("html")).alias("text"), F.size(F.regexp_extract_all("html", F.lit("<p>"), 0)).cast("long").alias("n_blocks"), F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"))
@@ -268,7 +263,7 @@ def html_blocks(spark, sf_dir):
 
 @query("url_ids", r"""
 SELECT page_id, lower(regexp_extract(url, '^[a-z]+://([^/?#]+)', 1)) AS host, regexp_extract(url, '/([a-z]{2})/', 1) AS lang, TRY_CAST(regexp_extract(url, '/([0-9]+)', 1) AS BIGINT) AS key FROM pages
-""", "SRC14 F31 F32 P18")
+""")
 def url_ids(spark, sf_dir):
     pages = table(spark, sf_dir, "pages")
     return pages.select("page_id", F.lower(F.regexp_extract("url", "^[a-z]+://([^/?#]+)", 1)).alias("host"), F.regexp_extract("url", "/([a-z]{2})/", 1).alias("lang"), F.regexp_extract("url", "/([0-9]+)", 1).try_cast("long").alias("key"))
@@ -277,7 +272,7 @@ def url_ids(spark, sf_dir):
 @query("blind_scores", """
 WITH u AS (SELECT doc_id, 'quality' AS criterion, quality AS value FROM labels UNION ALL SELECT doc_id, 'safety', 1 - toxic FROM labels), s AS (SELECT source, criterion, sum(value) AS wins, count(*) AS n FROM u JOIN documents USING (doc_id) GROUP BY 1, 2)
 SELECT source, criterion, CAST(wins AS BIGINT) AS wins, n, CASE WHEN 2 * wins > n THEN 'win' WHEN 2 * wins = n THEN 'tie' ELSE 'loss' END AS outcome FROM s
-""", "G11 G10 J15")
+""", "G11 G10")
 def blind_scores(spark, sf_dir):
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality", (1 - F.col("toxic")).alias("safety"))
     judged = labels.unpivot("doc_id", ["quality", "safety"], "criterion", "value").join(_docs(spark, sf_dir).select("doc_id", "source"), "doc_id")
@@ -287,7 +282,7 @@ def blind_scores(spark, sf_dir):
 
 @query("coverage_status", """
 SELECT source, count(*) AS expected, count(l.doc_id) AS labelled, round(count(l.doc_id) / CAST(count(*) AS DOUBLE), 6) AS coverage, count(l.doc_id) = count(*) AS complete, sum(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) > 0 AS has_toxic FROM documents d LEFT JOIN labels l USING (doc_id) GROUP BY source
-""", "G05 G06 G07 G15 G20 J01 J02 J21 SRC06 SRC07")
+""", "G05 G06 G07 G15 G20 J01 J02 SRC06 SRC07")
 def coverage_status(spark, sf_dir):
     rows = _docs(spark, sf_dir).select("doc_id", "source").join(table(spark, sf_dir, "labels").withColumn("found", F.lit(1)), "doc_id", "left")
     grouped = rows.groupBy("source").agg(F.count(F.lit(1)).alias("expected"), F.count("found").alias("labelled"), F.coalesce(F.bool_or(F.col("toxic") == 1), F.lit(False)).alias("has_toxic"))

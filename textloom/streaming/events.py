@@ -6,13 +6,14 @@ same rows, which tests hold it to.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textloom.sources.shared import shared_dir
+
 
 def stream(spark: SparkSession, sf_dir: str, name: str = "events") -> DataFrame:
     """The table's files as a stream; ``ts`` becomes a timestamp, as watermarks need it."""
@@ -43,11 +44,15 @@ def once(events: DataFrame, keys: list[str], late: str = "10 minutes") -> DataFr
 
 def finished(df: DataFrame, mode: str = "complete") -> DataFrame:
     """Run a stream over all there is and return the result table."""
-    name = f"stream_{uuid.uuid4().hex}"
-    folder = df.sparkSession.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='textloom-stream-')}"
-    run = df.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", f"{folder}/{name}").trigger(availableNow=True).start()
+    folder = f"{shared_dir(df.sparkSession)}/stream-{uuid.uuid4().hex}"
+
+    def write(batch: DataFrame, number: int) -> None:
+        # A batch that is run again replaces what it wrote; complete results replace the former ones.
+        batch.write.mode("overwrite").parquet(f"{folder}/out/batch={number if mode == 'append' else 0}")
+
+    run = df.writeStream.foreachBatch(write).outputMode(mode).option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
     run.awaitTermination()
-    return df.sparkSession.table(name)
+    return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/out").select(*df.columns)
 
 
 def both(build: Callable[[DataFrame], DataFrame], spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
