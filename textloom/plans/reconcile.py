@@ -163,12 +163,12 @@ def title_word_pairs(spark, sf_dir):
 
 
 @query("dedupe_queue", f"""
-WITH t AS (SELECT conv_id * 1000 + turn AS id, list_distinct(list_concat(list_transform({S.tokens('text', 4)}, lambda x: left(x, 2)), ['n' || turn % 5])) AS t, turn % 5 AS n FROM conversations)
+WITH t AS (SELECT conv_id * 1000 + turn AS id, list_distinct(list_concat(list_transform({S.tokens('text', 4)}, lambda x: left(x, 3)), ['n' || turn % 5])) AS t, turn % 5 AS n FROM conversations)
 SELECT a.id AS a, b.id AS b, round({S.jaccard('a.t', 'b.t')}, 6) AS similarity FROM t a JOIN t b ON a.id < b.id WHERE {S.jaccard('a.t', 'b.t')} >= 0.52 OR ({S.jaccard('a.t', 'b.t')} >= 0.36 AND a.n = b.n)
 """, "S05 C19")
 def dedupe_queue(spark, sf_dir):
     """Pairs of turns alike by half of how their longer words begin, or by a third if they share a number: here, their place modulo five."""
-    rows = turns(spark, sf_dir).select((F.col("conv_id") * 1000 + F.col("turn")).alias("id"), F.array_union(F.transform(T.tokens(F.col("text"), 4), lambda x: F.left(x, F.lit(2))), F.array(F.concat(F.lit("n"), (F.col("turn") % 5).cast("string")))).alias("t"))
+    rows = turns(spark, sf_dir).select((F.col("conv_id") * 1000 + F.col("turn")).alias("id"), F.array_union(F.transform(T.tokens(F.col("text"), 4), lambda x: F.left(x, F.lit(3))), F.array(F.concat(F.lit("n"), (F.col("turn") % 5).cast("string")))).alias("t"))
     pairs = dedupe.similar_pairs(rows, "id", "t", 0.36)
     shared = (F.col("a") % 1000 % 5) == (F.col("b") % 1000 % 5)
     return pairs.filter((F.col("similarity") >= 0.52) | shared).select("a", "b", F.round("similarity", 6).alias("similarity"))

@@ -9,6 +9,7 @@ from textloom.functions import sqltext as S
 from textloom.functions import text as T
 from textloom.operators import dedupe, joins, ranking, sequences
 from textloom.plans.base import query
+from textloom.sources.shared import written
 from textloom.sources.tables import table
 
 #: Signal names and patterns; a parameter of the signal queries.
@@ -97,11 +98,11 @@ def leader_clusters(spark, sf_dir):
 
 @query("mmr_pack", None, "K02 K03")
 def mmr_pack(spark, sf_dir):
-    docs = _docs(spark, sf_dir).withColumn("tokens", T.tokens(F.col("text")))
+    thesis = T.slug(F.split("text", "\n")[0], 40)
+    docs = written(_docs(spark, sf_dir).select("doc_id", "lang", "source", T.tokens(F.col("text")).alias("tokens"), thesis.alias("thesis")), "tokens")
     terms = T.tokens(F.lit("thing ation the of and in stra"))
     scored = docs.withColumn("relevance", F.size(F.array_intersect("tokens", terms)) * 3.0 + F.least(F.size("tokens") / 400.0, F.lit(1.0))).filter("relevance > 1")
-    thesis = T.slug(F.split("text", "\n")[0], 40)
-    rows = scored.select("lang", "doc_id", "relevance", "tokens", "source", thesis.alias("thesis"))
+    rows = scored.select("lang", "doc_id", "relevance", "tokens", "source", "thesis")
     return dedupe.diverse_top(rows, "lang", "doc_id", "relevance", "tokens", "source", 12, 0.3, 3, "thesis")
 
 
