@@ -54,3 +54,11 @@ def test_empty(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SF)
         assert docs.collect() == []
+
+
+def test_run_leaves_only_its_last_tables(spark):
+    from textloom.llm import common
+
+    corpus_pipeline.run(spark, SF)
+    names = sorted(p.rpartition("/")[2].rpartition("-")[0] for p in common._made)
+    assert names == ["decontamination", "pieces"]

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -10,6 +9,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from textloom.sources.shared import shared_dir
+
 #: Bytes of text that a Python task works on at once; a longer text is a slice of its own.
 SLICE_BYTES = 1 << 18
 
@@ -25,27 +26,39 @@ _GRAM_KEYS = _RNG.integers(1, 2**63, 64, dtype=np.uint64) * _U(2) + _U(1)
 _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``; one is made only where that is unset, as in tests."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = f"file://{tempfile.mkdtemp(prefix='textloom-')}"
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
 def small_batches(spark: SparkSession) -> None:
     """Let Spark pass at most a thousand rows at a time to Python tasks of this session: texts are long, and vectors for ten thousand of them take hundreds of megabytes beside the heap."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
 
 
+#: Tables that ``written`` has made and nothing has removed.
+_made: list[str] = []
+
+
 def written(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
-    """Write ``df`` as Parquet to the shared folder and read it back: lineage is cut, and lost executors lose nothing of it."""
+    """Write ``df`` as Parquet to the shared folder and read it back: lineage is cut, and lost executors lose nothing of it.
+
+    Results are read from such tables later, so they stay until ``settled`` or whoever owns the folder removes them.
+    """
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", compression).parquet(path)
+    _made.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def settled(df: DataFrame, name: str) -> DataFrame:
+    """``written``, and then all tables that were made before it are removed: for callers that need none of them any more."""
+    out = written(df, name)
+    own = _made[-1]
+    spark = df.sparkSession
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in [p for p in _made if p != own]:
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(conf).delete(at, True)
+        _made.remove(path)
+    return out
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of a string (UTF-8) or binary column end to end, and the n + 1 offsets of its rows; null counts as empty."""
     column = column.cast(pa.large_binary()).fill_null(b"")
