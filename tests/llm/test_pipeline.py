@@ -56,9 +56,14 @@ def test_empty(spark):
         assert docs.collect() == []
 
 
-def test_run_leaves_only_its_last_tables(spark):
-    from textloom.llm import common
+def test_scratch_removes_its_own_tables_only(spark):
+    from textloom.llm.common import Scratch
 
-    corpus_pipeline.run(spark, SF)
-    names = sorted(p.rpartition("/")[2].rpartition("-")[0] for p in common._made)
-    assert names == ["decontamination", "pieces"]
+    other = written(spark.range(3), "other")
+    with Scratch() as tables:
+        first = tables.settle(written(spark.range(5), "inner"), "first")
+        second = tables.settle(first.filter("id > 1"), "second")
+        assert len(tables.paths) == 1
+    assert other.count() == 3 and second.count() == 3
+    files = {p.rpartition("/")[0] for p in second.inputFiles()}
+    assert files == {tables.paths[0]}

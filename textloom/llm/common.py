@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -31,34 +32,46 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
 
 
-#: Tables that ``written`` has made and nothing has removed.
-_made: list[str] = []
+class Scratch:
+    """Tables that ``written`` makes while this is entered, in this thread; ``settle`` removes those that are needed no more."""
+
+    def __init__(self) -> None:
+        self.paths: list[str] = []
+
+    def __enter__(self) -> Scratch:
+        self._token = _scratch.set(self)
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        _scratch.reset(self._token)
+
+    def settle(self, df: DataFrame, name: str) -> DataFrame:
+        """``written``; then the other tables go, as the caller says by this call that it reads none of them again."""
+        out = written(df, name)
+        *before, own = self.paths
+        sc = df.sparkSession.sparkContext
+        for path in before:
+            at = sc._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(sc._jsc.hadoopConfiguration()).delete(at, True)
+        self.paths = [own]
+        return out
+
+
+_scratch: ContextVar[Scratch | None] = ContextVar("scratch", default=None)
 
 
 def written(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back: lineage is cut, and lost executors lose nothing of it.
 
-    Results are read from such tables later, so they stay until ``settled`` or whoever owns the folder removes them.
+    Results are read from such tables later, so they stay until a ``Scratch`` or whoever owns the folder removes them.
     """
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", compression).parquet(path)
-    _made.append(path)
+    if (scratch := _scratch.get()) is not None:
+        scratch.paths.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def settled(df: DataFrame, name: str) -> DataFrame:
-    """``written``, and then all tables that were made before it are removed: for callers that need none of them any more."""
-    out = written(df, name)
-    own = _made[-1]
-    spark = df.sparkSession
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for path in [p for p in _made if p != own]:
-        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        at.getFileSystem(conf).delete(at, True)
-        _made.remove(path)
-    return out
-
-
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of a string (UTF-8) or binary column end to end, and the n + 1 offsets of its rows; null counts as empty."""
     column = column.cast(pa.large_binary()).fill_null(b"")
