@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.llm import decontamination, line_dedup, ngram_join, packing, quality_classifier
-from textloom.llm.common import small_batches, written
+from textloom.llm.common import Scratch, small_batches
 from textloom.llm.queries import tokenizer_path
 
 
@@ -64,8 +64,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the whole of ``documents``."""
+    """All stages over the whole of ``documents``; a stage's tables go once its result is written."""
     docs = _table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name)
+    with Scratch() as tables:
+        for name, stage in STAGES[:-1]:
+            docs = tables.settle(stage(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)
