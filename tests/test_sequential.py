@@ -100,3 +100,30 @@ def test_numbers_across_ranges(spark):
         for n, r in enumerate(sorted((r[1:] for r in rows if r[0] == g)), 1):
             want[r[1]] = n
     assert {r.id: r.n for r in ranking.numbered(df, "g", ["v", "id"], "n").collect()} == want
+
+
+def test_surfaces_and_closures(spark):
+    from textloom.operators import sequences
+
+    rnd = random.Random(4)
+    rows = [(d, i, rnd.randrange(2), rnd.randrange(6), rnd.randrange(4), sorted(rnd.sample(range(9), rnd.randrange(1, 5)))) for d in range(5) for i in range(20)]
+    df = spark.createDataFrame(rows, "d long, i long, kind int, lineage int, risk int, members array<int>")
+    kept, into = {}, {}
+    for d in range(5):
+        own = [r for r in rows if r[0] == d]
+        stay = []
+        for r in own:
+            clash = any(s[3] == r[3] for s in stay) or any(s[2] == r[2] and len(set(s[5]) & set(r[5])) >= 0.3 * min(len(s[5]), len(r[5])) for s in stay)
+            kept[d, r[1]] = not clash
+            stay += [] if clash else [r]
+        stand = []
+        for r in sorted(own, key=lambda r: (-r[4], r[1])):
+            hit = [s for s in stand if s[1] == r[2] and len(s[2] & set(r[5])) >= 0.6 * min(len(s[2]), len(r[5]))]
+            into[d, r[1]] = hit[0][0] if hit else r[1]
+            if hit:
+                hit[0][2].update(r[5])
+            else:
+                stand.append((r[1], r[2], set(r[5])))
+    assert {(r.d, r.i): r.kept for r in sequences.kept_surfaces(df, "d", "kind", "i", "lineage", "members").collect()} == kept
+    assert {(r.d, r.i): r.into for r in sequences.merged_closures(df, "d", "kind", "i", "risk", "members").collect()} == into
+    assert 0 < sum(kept.values()) < 100 and any(k[1] != v for k, v in into.items())

@@ -126,3 +126,59 @@ def refreshed(previous: DataFrame, source: DataFrame, key: str, version: str, bu
     stale = stamps.join(kept.select(key, "stamp").distinct(), [key, "stamp"], "left_anti")
     built = build(source.join(stale.select(key), key, "left_semi")).join(stale, key).withColumns({"version": F.lit(version), "reused": F.lit(False)})
     return built.unionByName(kept.select(*built.columns))
+
+
+def kept_surfaces(rows: DataFrame, by: str, category: str, order: str, lineage: str, members: str, overlap: float = 0.3) -> DataFrame:
+    """(by, order, kept): in order, a row is dropped if its lineage was seen, or if a kept row of its category has at least ``overlap`` of the smaller of both ``members``.
+
+    What is kept depends on what was kept before, so each key's rows go through one ordered pass; a key is one document.
+    """
+    typed = {f.name: f.dataType.simpleString() for f in rows.schema}
+
+    def walk(group: pd.DataFrame) -> pd.DataFrame:
+        seen, kept, out = set(), [], []
+        for k, c, line, own in group.sort_values(order, kind="stable")[[order, category, lineage, members]].itertuples(index=False):
+            own = set(own)
+            near = any(c == d and own and other and len(own & other) / min(len(own), len(other)) >= overlap for d, other in kept)
+            ok = line not in seen and not near
+            if ok:
+                seen.add(line)
+                kept.append((c, own))
+            out.append((group[by].iloc[0], k, ok))
+        return pd.DataFrame(out, columns=[by, order, "kept"])
+
+    return rows.select(by, category, order, lineage, members).groupBy(by).applyInPandas(walk, f"{by} {typed[by]}, {order} {typed[order]}, kept boolean")
+
+
+def merged_closures(rows: DataFrame, by: str, kind: str, order: str, risk: str, members: str, overlap: float = 0.6) -> DataFrame:
+    """(by, order, into): by falling risk, then order, a row is merged into the first row of its kind that stands and shares at least ``overlap`` of the smaller of both member sets, which takes its members; else it stands."""
+    typed = {f.name: f.dataType.simpleString() for f in rows.schema}
+
+    def walk(group: pd.DataFrame) -> pd.DataFrame:
+        standing: list[tuple[object, object, set]] = []
+        out = []
+        for k, c, own in group.sort_values([risk, order], ascending=[False, True], kind="stable")[[order, kind, members]].itertuples(index=False):
+            own = set(own)
+            into = next((s for s in standing if s[1] == c and own and s[2] and len(own & s[2]) / min(len(own), len(s[2])) >= overlap), None)
+            if into:
+                into[2].update(own)
+            else:
+                standing.append((k, c, own))
+            out.append((group[by].iloc[0], k, into[0] if into else k))
+        return pd.DataFrame(out, columns=[by, order, "into"])
+
+    return rows.select(by, kind, order, risk, members).groupBy(by).applyInPandas(walk, f"{by} {typed[by]}, {order} {typed[order]}, into {typed[order]}")
+
+
+def chapter_parts(rows: DataFrame, chapters: DataFrame, by: str, at: str, length: str, max_chars: int, cost: int = 64) -> DataFrame:
+    """Rows with ``chapter``, the title of the chapter (by, starts, title) that they are in, and ``part``, counted from 1 within it: parts are packed greedily up to ``max_chars``, ``cost`` a row.
+
+    Of several chapters that start at once the least title counts; rows before the first chapter have none, and are parts of their own.
+    """
+    from textloom.operators import joins
+
+    first = chapters.groupBy(by, F.col("starts").alias(at)).agg(F.min(F.struct("title")).alias("_t")).withColumn("_c", F.struct(F.col(at).alias("starts"), F.col("_t.title").alias("title")))
+    placed = joins.asof(rows, first.select(by, at, "_c"), [by], at, "_c")
+    key = F.xxhash64(by, F.coalesce(F.col("_c.starts").cast("string"), F.lit("")))
+    packed = greedy_chunks(placed.withColumn("_key", key).withColumn("chapter", F.col("_c.title")).drop("_c"), "_key", at, length, max_chars, cost)
+    return packed.withColumn("part", F.col("chunk") + 1).drop("_key", "chunk")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from textloom.functions import sqltext as S
 from textloom.functions import text as T
 from textloom.operators import checks as C
-from textloom.operators import dedupe, graphs
+from textloom.operators import dedupe, graphs, sequences
 from textloom.plans.base import query
 from textloom.sources.tables import table
 
@@ -383,3 +383,50 @@ def noisy_quotes(spark, sf_dir):
     borrowed = titles.select(F.col("other").alias("of"), F.col("title").alias("added"))
     quotes = rows.withColumn("of", F.when(F.col("turn") % 5 == 2, (F.col("conv_id") + 1) % 40)).join(borrowed, "of", "left").select("conv_id", "turn", F.concat("t", F.coalesce("added", F.lit(""))).alias("t"))
     return C.noise_flags(quotes, ["conv_id", "turn"], "conv_id", "t", {"question": r"\?", "link": "http|www"}, titles, 20)
+
+
+
+
+
+@query("chapter_parts", """
+WITH RECURSIVE c AS (SELECT conv_id, turn * 10 AS starts, concat('part ', turn) AS title FROM conversations WHERE role = 'user' AND turn > 0), r AS (SELECT a.conv_id, a.turn * 10 AS start, length(a.text) AS n, max(c.starts) AS starts FROM conversations a LEFT JOIN c ON c.conv_id = a.conv_id AND c.starts <= a.turn * 10 GROUP BY ALL),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id, starts ORDER BY start) AS i FROM r),
+w AS (SELECT conv_id, start, starts, i, n + 64 AS used, 1 AS part FROM o WHERE i = 1 UNION ALL SELECT o.conv_id, o.start, o.starts, o.i, CASE WHEN w.used + o.n + 64 > 500 THEN o.n + 64 ELSE w.used + o.n + 64 END, CASE WHEN w.used + o.n + 64 > 500 THEN w.part + 1 ELSE w.part END FROM w JOIN o ON o.conv_id = w.conv_id AND o.starts IS NOT DISTINCT FROM w.starts AND o.i = w.i + 1)
+SELECT conv_id, start, concat('part ', starts // 10) AS chapter, part FROM (SELECT conv_id, start, starts, part FROM w) WHERE starts IS NOT NULL UNION ALL SELECT conv_id, start, NULL, part FROM w WHERE starts IS NULL
+""", "W04")
+def chapter_parts(spark, sf_dir):
+    """A user's turn begins a chapter, but for the first; chapters are split into parts of 500 characters."""
+    rows = turns(spark, sf_dir)
+    chapters = rows.filter("role = 'user' AND turn > 0").select("conv_id", (F.col("turn") * 10).alias("starts"), F.concat(F.lit("part "), "turn").alias("title"))
+    made = sequences.chapter_parts(rows.select("conv_id", (F.col("turn") * 10).alias("start"), F.length("text").alias("n")), chapters, "conv_id", "start", "n", 500)
+    return made.select("conv_id", "start", "chapter", "part")
+
+
+@query("kept_surfaces", None, "W17")
+def kept_surfaces(spark, sf_dir):
+    return sequences.kept_surfaces(surfaces(spark, sf_dir), "conv_id", "kind", "turn", "lineage", "members")
+
+
+@query("merged_closures", None, "W13")
+def merged_closures(spark, sf_dir):
+    return sequences.merged_closures(surfaces(spark, sf_dir), "conv_id", "kind", "turn", "risk", "members")
+
+
+def surfaces(spark, sf_dir):
+    """Turns as risk surfaces of two kinds, with members among the places around and a lineage that comes again."""
+    place = lambda k: F.floor((F.col("turn") + k) / 2)
+    return turns(spark, sf_dir).select("conv_id", "turn", (F.length("text") % 2).alias("kind"), (F.length("text") % 7).alias("lineage"), (F.length("text") % 5).alias("risk"), F.array_distinct(F.array(place(0), place(1), place(2), place(3))).alias("members"))
+
+
+@query("cited_context", """
+WITH c AS (SELECT conv_id, turn, unnest(regexp_extract_all(concat('see doc-', conv_id * 7, chr(10), 'and doc-', turn * 300 + 5000, ' too', chr(10), text), 'doc-[0-9]+')) AS id FROM conversations), d AS (SELECT concat('doc-', doc_id) AS id, source, lang FROM documents)
+SELECT DISTINCT c.conv_id, c.turn, c.id, d.source, CASE WHEN d.id IS NULL THEN 'missing' ELSE 'found' END AS state, CASE WHEN c.id = concat('doc-', c.conv_id * 7) THEN concat('see doc-', conv_id * 7) ELSE concat('and ', c.id, ' too') END AS line FROM c LEFT JOIN d USING (id)
+WHERE c.id IN (concat('doc-', conv_id * 7), concat('doc-', turn * 300 + 5000))
+""", "J05")
+def cited_context(spark, sf_dir):
+    """Ids cited in a text with what the index has of them, and the line that cites them."""
+    text = F.concat(F.lit("see doc-"), F.col("conv_id") * 7, F.lit("\nand doc-"), F.col("turn") * 300 + 5000, F.lit(" too\n"), "text")
+    lines = turns(spark, sf_dir).select("conv_id", "turn", F.explode(F.split(text, "\n")).alias("line"))
+    cited = lines.select("conv_id", "turn", F.explode(F.array_distinct(F.regexp_extract_all("line", F.lit("doc-[0-9]+"), 0))).alias("id"), "line").distinct()
+    index = table(spark, sf_dir, "documents").select(F.concat(F.lit("doc-"), "doc_id").alias("id"), "source")
+    return cited.join(index, "id", "left").select("conv_id", "turn", "id", "source", F.when(F.col("source").isNull(), "missing").otherwise("found").alias("state"), "line")
