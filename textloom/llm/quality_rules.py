@@ -39,21 +39,26 @@ def words(text: Column) -> Column:
 def n_repeat_words(w: Column, window: int = 3) -> Column:
     """Words inside runs of ``window`` words that occur at least twice; ``w`` is an array of words.
 
-    The runs' hashes are sorted with their positions, so that equal ones stand side by side.
+    Runs are hashes of their words' hashes, sorted with their positions, so that equal ones stand side by side. Each position found covers its words up to the next one.
     """
 
-    def count(s: Column) -> Column:
+    def found(s: Column) -> Column:
         last = F.size(s) - 1
         twice = F.filter(s, lambda x, i: ((i > 0) & (F.get(s, i - 1)["h"] == x["h"])) | ((i < last) & (F.get(s, i + 1)["h"] == x["h"])))
-        covered = F.flatten(F.transform(twice, lambda x: F.transform(F.sequence(F.lit(0), F.lit(window - 1)), lambda k: x["i"] + k)))
-        return F.size(F.array_distinct(covered))
+        return F.array_sort(F.transform(twice, lambda x: x["i"]))
 
-    run = w
-    for k in range(1, window):
-        run = F.zip_with(run, F.slice(w, k + 1, F.greatest(F.size(w), F.lit(1))), lambda a, b: F.concat(a, F.lit(" "), b))
-    full = F.filter(run, lambda x: x.isNotNull())
-    hashed = F.transform(full, lambda x, i: F.struct(F.xxhash64(x).alias("h"), i.alias("i")))
-    return F.when(F.size(w) <= window, 0).otherwise(_let(F.sort_array(hashed), count))
+    def covered(at: Column) -> Column:
+        ahead = F.zip_with(at, F.slice(at, 2, F.greatest(F.size(at), F.lit(1))), lambda a, b: F.coalesce(F.least(b - a, F.lit(window)), F.lit(window)))
+        return F.aggregate(ahead, F.lit(0), lambda n, x: n + x)
+
+    def runs(h: Column) -> Column:
+        run = h
+        for k in range(1, window):
+            run = F.zip_with(run, F.slice(h, k + 1, F.greatest(F.size(h), F.lit(1))), lambda a, b: F.xxhash64(a, b))
+        return F.transform(F.slice(run, 1, F.greatest(F.size(h) - (window - 1), F.lit(0))), lambda x, i: F.struct(x.alias("h"), i.alias("i")))
+
+    hashed = _let(F.transform(w, lambda x: F.xxhash64(x)), runs)
+    return F.when(F.size(w) <= window, 0).otherwise(_let(_let(F.sort_array(hashed), found), covered))
 
 
 def n_dup_lines(text: Column) -> Column:
@@ -67,6 +72,12 @@ def normal_line(line: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(F.lower(line), "[0-9]", "0"), f"{SPACE}+", " "))
 
 
+def normal_lines(text: Column) -> Column:
+    """``normal_line`` of each line, empty ones left out; the text is rewritten once, not line by line."""
+    flat = F.regexp_replace(F.regexp_replace(F.lower(text), "[0-9]", "0"), r"[\x20\x09\x0B-\x0D]+", " ")
+    return F.filter(F.transform(F.split(flat, "\n", -1), lambda x: F.trim(x)), lambda x: x != "")
+
+
 def _documents(documents: DataFrame, key: str, text: str, host: str) -> DataFrame:
     """(id, key, text, host); ``id`` tells documents of one host apart by key and text."""
     whole = F.coalesce(F.col(text), F.lit(""))
@@ -80,11 +91,11 @@ def _line_id(line: Column) -> list[Column]:
 
 def common_lines(docs: DataFrame, max_docs_per_line: int) -> DataFrame:
     """(id, host, chars, lines) of the documents (id, text, host) that hold lines of more than so many documents of their host: how many characters these have, and their hashes."""
-    lines = F.filter(F.transform(F.split("text", "\n", -1), normal_line), lambda x: x != "")
-    each = docs.select("id", "host", F.explode(lines).alias("line"))
+    each = docs.select("id", "host", F.explode(normal_lines(F.col("text"))).alias("line"))
     each = each.select("id", "host", *_line_id(F.col("line")), F.length(_without(F.col("line"), SPACES)).alias("chars"))
     each = each.groupBy("id", "host", "h", "g").agg(F.sum("chars").alias("chars"))
-    common = each.groupBy("host", "h", "g").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > max_docs_per_line)
+    # A line has characters, so the second test holds for all; with it both uses of ``each`` need the same columns and share one shuffle.
+    common = each.groupBy("host", "h", "g").agg(F.count(F.lit(1)).alias("n"), F.min("chars").alias("least")).filter((F.col("n") > max_docs_per_line) & (F.col("least") > 0))
     common = common.select(F.col("host").alias("at"), F.col("h").alias("ch"), F.col("g").alias("cg"))
     same = (F.col("h") == F.col("ch")) & (F.col("g") == F.col("cg")) & F.col("host").eqNullSafe(F.col("at"))
     found = each.join(common, same).groupBy("id", "host").agg(F.sum("chars").alias("chars"), F.collect_list(F.struct("h", "g")).alias("lines"))
