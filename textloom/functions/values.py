@@ -83,7 +83,7 @@ def cited_ids(text: Column) -> Column:
 
 def bullet_lines(text: Column, stops: Sequence[str]) -> Column:
     """What stands after the dash of dashed lines, up to the first line that holds a stop marker; links go."""
-    lines = F.filter(F.transform(F.split(text, "\n", -1), F.trim), lambda x: x != "")
+    lines = F.filter(F.transform(F.split(text, "\n", -1), lambda x: F.trim(x)), lambda x: x != "")
     stop = F.array_position(F.transform(lines, lambda x: reduce(lambda a, b: a | b, (F.contains(T.fold(x), F.lit(s)) for s in stops))), True)
     kept = F.when(stop > 0, F.slice(lines, F.lit(1), (stop - 1).cast("int"))).otherwise(lines)
     dashed = F.transform(F.filter(kept, lambda x: F.startswith(x, F.lit("-"))), lambda x: F.trim(F.regexp_replace(x, "^-+", "")))
