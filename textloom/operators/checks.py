@@ -173,3 +173,12 @@ def noise_flags(quotes: DataFrame, keys: Sequence[str], owner: str, text: str, p
     each = quotes.filter(F.length(text) >= least).select(*keys, F.col(owner).alias("_owner"), F.col(text).alias("_text"), F.explode(grams).alias("g"))
     named = each.join(long, "g").filter((F.col("_owner") != F.col("other")) & F.contains("_text", F.col("title"))).select(*keys, F.lit("other_title").alias("flag")).distinct()
     return flags.unionByName(named)
+
+
+def material_number(layer: Column, candidate_type: Column, signals: Column, kind: Column, core: Column, claimed: Column, numeric_types: Sequence[str]) -> Column:
+    """Whether a number matters: in minimal evidence if its kind is explicit or the candidate's type is numeric; in support if that type is numeric and the segment signals
+    both a number and a proposition; and wherever its core is among those that the claim mentions."""
+    numeric = candidate_type.isin(*numeric_types)
+    proposition = F.arrays_overlap(signals, F.array(F.lit("comparison"), F.lit("experiment"), F.lit("test_result")))
+    own = ((layer == "minimal") & ((kind != "bare") | numeric)) | ((layer == "support") & numeric & F.array_contains(signals, "number") & proposition)
+    return own | F.array_contains(claimed, core)

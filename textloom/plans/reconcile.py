@@ -430,3 +430,15 @@ def cited_context(spark, sf_dir):
     cited = lines.select("conv_id", "turn", F.explode(F.array_distinct(F.regexp_extract_all("line", F.lit("doc-[0-9]+"), 0))).alias("id"), "line").distinct()
     index = table(spark, sf_dir, "documents").select(F.concat(F.lit("doc-"), "doc_id").alias("id"), "source")
     return cited.join(index, "id", "left").select("conv_id", "turn", "id", "source", F.when(F.col("source").isNull(), "missing").otherwise("found").alias("state"), "line")
+
+
+@query("material_numbers", """
+SELECT o_orderstatus, count(*) AS n, count(*) FILTER ((o_orderkey % 3 = 0 AND (o_orderkey % 2 = 0 OR o_orderstatus = 'F')) OR (o_orderkey % 3 = 1 AND o_orderstatus = 'F' AND o_orderkey % 5 IN (1, 2)) OR o_custkey % 7 = o_orderkey % 7) AS material FROM orders GROUP BY 1
+""", "P17")
+def material_numbers(spark, sf_dir):
+    """Orders as numbers of three layers, with signals by key; finished orders are of a numeric type."""
+    layer = F.element_at(F.array(F.lit("minimal"), F.lit("support"), F.lit("context")), (F.col("o_orderkey") % 3 + 1).cast("int"))
+    signals = F.when(F.col("o_orderkey") % 5 == 1, F.array(F.lit("number"), F.lit("comparison"))).when(F.col("o_orderkey") % 5 == 2, F.array(F.lit("test_result"), F.lit("number"))).when(F.col("o_orderkey") % 5 == 3, F.array(F.lit("experiment"))).otherwise(F.array(F.lit("number")))
+    kind = F.when(F.col("o_orderkey") % 2 == 0, "percent").otherwise("bare")
+    test = C.material_number(layer, F.col("o_orderstatus"), signals, kind, F.col("o_custkey") % 7, F.array(F.col("o_orderkey") % 7), ("F",))
+    return table(spark, sf_dir, "orders").groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"), F.count_if(test).alias("material"))
