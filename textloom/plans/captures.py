@@ -62,7 +62,7 @@ def csv_queue(spark, sf_dir):
 
 
 @query("caption_events", """
-SELECT conv_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS INTEGER) AS index, turn * 1.5 AS start, CASE WHEN turn % 2 = 0 THEN 1.25 END AS duration, trim(text || ' x') AS text FROM conversations QUALIFY turn % 5 <> 3
+SELECT conv_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS INTEGER) AS index, CAST(turn * 1.5 AS DOUBLE) AS start, CAST(CASE WHEN turn % 2 = 0 THEN 1.25 END AS DOUBLE) AS duration, trim(text || ' x') AS text FROM conversations QUALIFY turn % 5 <> 3
 """, "SRC08")
 def caption_events(spark, sf_dir):
     """A conversation's turns as caption JSON; every fifth event is blank."""
