@@ -44,3 +44,12 @@ def test_no_rows_of_candidates(spark, tmp_path):
     spark.createDataFrame(rows, TURNS).write.parquet(f"{tmp_path}/conversations.parquet")
     plan = REGISTRY.builders()["dedupe_queue"](spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
     assert "FlatMapGroupsInArrow" in plan and "Join" not in plan
+
+
+def test_vector_neighbours(spark, tmp_path):
+    """Copies, a null vector and a null query; the plan has matrix products and no join of queries with vectors."""
+    rnd = random.Random(4)
+    rows = [(i, None if i in (100, 77) else [1.0, 2.0, 3.0] if i % 4 == 1 else [rnd.uniform(-1, 1) for _ in range(3)]) for i in range(1500)]
+    assert held(spark, tmp_path, "vector_neighbours", embeddings=(rows, "vec_id long, embedding array<float>")) == 150
+    plan = REGISTRY.builders()["vector_neighbours"](spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "Join" not in plan
