@@ -53,3 +53,12 @@ def test_vector_neighbours(spark, tmp_path):
     assert held(spark, tmp_path, "vector_neighbours", embeddings=(rows, "vec_id long, embedding array<float>")) == 150
     plan = REGISTRY.builders()["vector_neighbours"](spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
     assert "MapInArrow" in plan and "Join" not in plan
+
+
+def test_noisy_quotes(spark, tmp_path):
+    """A title that many conversations share, with letters beyond ASCII and beyond 16 bits; texts leave their task only for titles they may hold."""
+    title = "\U0001f600 éß begin " + "a title that is long enough to count for all"
+    rows = [(c, t, "user", title if t == 0 and c % 3 else f"own {c} " * 9 if t == 0 else f"of {c}? {title[: 20 + 4 * c]} www" if t == 1 else None if t == 3 else "short") for c in range(60) for t in range(4)]
+    held(spark, tmp_path, "noisy_quotes", conversations=(rows, TURNS))
+    plan = REGISTRY.builders()["noisy_quotes"](spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "Generate explode(array_distinct" not in plan

@@ -2,12 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from textloom.functions import text as T
+from textloom.sources.shared import written
+
+
+def mix(x: np.ndarray) -> np.ndarray:
+    """Finaliser that spreads each bit of 64 over all of them."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
 
 
 def violations(rows: DataFrame, keys: Sequence[str], checks: Mapping[str, Column]) -> DataFrame:
@@ -164,17 +175,51 @@ def live_status(valid: Column, known: Column, prior: Column, provider: Column, r
 def noise_flags(quotes: DataFrame, keys: Sequence[str], owner: str, text: str, patterns: Mapping[str, str], titles: DataFrame, least: int) -> DataFrame:
     """(keys, flag): the patterns that a folded quote matches, and ``other_title`` where it holds a title (other, title) of at least ``least`` characters that isn't its owner's.
 
-    A quote's grams of ``least`` characters meet the first ones of titles by equality, so titles are never tried one by one.
+    A quote's grams of ``least`` characters meet the first ones of titles by equality, so titles are never tried one by one. Grams stay in their task unless a table of bits
+    (8 MB at most) has both bits of their hash, as it has for all starts of titles and hardly any other. Equal titles are one row: they need only an owner that isn't the quote's.
     """
     flags = violations(quotes, keys, {n: F.col(text).rlike(p) for n, p in patterns.items()}).withColumnRenamed("error", "flag")
-    long = titles.filter(F.length("title") >= least).select("other", "title", F.xxhash64(F.left("title", F.lit(least))).alias("g"))
-    starts = F.sequence(F.lit(1), F.greatest(F.length(text) - least + 1, F.lit(1)))
-    grams = F.array_distinct(F.transform(starts, lambda i: F.xxhash64(F.substring(F.col(text), i, F.lit(least)))))
-    each = quotes.filter(F.length(text) >= least).select(*keys, F.col(owner).alias("_owner"), F.col(text).alias("_text"), F.explode(grams).alias("g"))
-    named = each.join(long, "g").filter((F.col("_owner") != F.col("other")) & F.contains("_text", F.col("title"))).select(*keys, F.lit("other_title").alias("flag")).distinct()
+    own = titles.filter(F.length("title") >= least).groupBy("title").agg(F.min("other").alias("first"), F.max("other").alias("last"))
+    starts = own.select("title", "first", "last", F.left("title", F.lit(least)).alias("_start"))
+    long = written(_grams(starts, "_start", least, None).drop("_start"), "titles")
+    room = 1 << min(26, max(16, (64 * long.count()).bit_length()))
+    bits = np.zeros(room >> 3, np.uint8)
+    for part in (0, 32):
+        set_ = long.select((F.shiftright("g", part).bitwiseAND(F.lit(room - 1))).cast("int").alias("at")).distinct().toArrow().column("at").to_numpy()
+        np.bitwise_or.at(bits, set_ >> 3, np.uint8(1) << (set_ & 7).astype(np.uint8))
+    each = _grams(quotes.filter(F.length(text) >= least).select(*keys, F.col(owner).alias("_owner"), F.col(text).alias("_text")), "_text", least, bits)
+    others = (F.col("_owner") != F.col("first")) | (F.col("_owner") != F.col("last"))
+    named = each.join(long, "g").filter(others & F.contains("_text", F.col("title"))).select(*keys, F.lit("other_title").alias("flag")).distinct()
     return flags.unionByName(named)
 
 
+def _grams(rows: DataFrame, text: str, n: int, bits: np.ndarray | None) -> DataFrame:
+    """``rows`` with ``g``, the hash of a gram of ``n`` characters of ``text``: a row for each distinct one, of those only whose two bits are in ``bits`` if that is given."""
+    schema = StructType([*rows.schema, StructField("g", LongType())])
+    place = rows.columns.index(text)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        power = np.cumprod(np.full(n, 0x9E3779B97F4A7C15, np.uint64))
+        for batch in batches:
+            at, found = [], []
+            for i, value in enumerate(batch.column(place).to_pylist()):
+                c = np.frombuffer((value or "").encode("utf-32-le", "replace"), np.uint32).astype(np.uint64)
+                if len(c) < n:
+                    continue
+                g = mix(np.lib.stride_tricks.sliding_window_view(c, n) @ power)
+                if bits is not None:
+                    for part in (0, 32):
+                        b = (g >> np.uint64(part)) & np.uint64(len(bits) * 8 - 1)
+                        g = g[(bits[b >> np.uint64(3)] >> (b & np.uint64(7)).astype(np.uint8)) & 1 == 1]
+                g = np.unique(g)
+                at.append(np.full(len(g), i))
+                found.append(g)
+            if at:
+                yield pa.RecordBatch.from_arrays([*batch.take(pa.array(np.concatenate(at), pa.int64())).columns, pa.array(np.concatenate(found).view(np.int64))], schema.names)
+
+    return rows.mapInArrow(cut, schema)
+
+
 def material_number(layer: Column, candidate_type: Column, signals: Column, kind: Column, core: Column, claimed: Column, numeric_types: Sequence[str]) -> Column:
     """Whether a number matters: in minimal evidence if its kind is explicit or the candidate's type is numeric; in support if that type is numeric and the segment signals
     both a number and a proposition; and wherever its core is among those that the claim mentions."""
