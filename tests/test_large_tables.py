@@ -2,8 +2,11 @@
 
 import random
 
+import numpy as np
+
 from oracle import same
 
+from textloom.llm import packing
 from textloom.operators import dedupe
 from textloom.plans.catalog import REGISTRY
 
@@ -62,3 +65,10 @@ def test_noisy_quotes(spark, tmp_path):
     held(spark, tmp_path, "noisy_quotes", conversations=(rows, TURNS))
     plan = REGISTRY.builders()["noisy_quotes"](spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
     assert "MapInArrow" in plan and "Generate explode(array_distinct" not in plan
+
+
+def test_pairs_of_full_bins():
+    """A bin of more than twelve pieces gives two of them away where no single one would do."""
+    lengths = np.array([*[6] * 14, 11, 85])
+    bins = packing.local_search([list(range(14)), [14, 15]], lengths, 100)
+    assert sorted(int(lengths[b].sum()) for b in bins) == [83, 97]

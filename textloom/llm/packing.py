@@ -120,19 +120,21 @@ def best_fit(lengths: np.ndarray, most: int) -> list[list[int]]:
     return bins
 
 
-def _subsets(items: list[int], lengths: np.ndarray, pair_limit: int) -> list[tuple[int, ...]]:
-    single = [(i,) for i in items]
-    if len(items) > pair_limit:
-        return single
-    return single + [(a, b) for k, a in enumerate(items) for b in items[k + 1 :]]
+def _subsets(items: list[int], lengths: np.ndarray) -> list[tuple[int, ...]]:
+    """Each piece and each pair of pieces that a bin can give, equal lengths once: a bin of at most ``most`` tokens has at most about sqrt(2 * most) lengths, however many pieces."""
+    alike: dict[int, list[int]] = {}
+    for i in items:
+        alike.setdefault(int(lengths[i]), []).append(i)
+    first = [same[:2] for same in alike.values()]
+    pairs = [(a[0], b[0]) for k, a in enumerate(first) for b in first[k + 1 :]]
+    return [(a[0],) for a in first] + pairs + [(a[0], a[1]) for a in first if len(a) > 1]
 
 
-def local_search(bins: list[list[int]], lengths: np.ndarray, most: int, pair_limit: int = 12) -> list[list[int]]:
+def local_search(bins: list[list[int]], lengths: np.ndarray, most: int) -> list[list[int]]:
     """Exchange pieces between underfull bins while that raises the sum of squared fills; bins that empty go.
 
     In each round every underfull bin, from the emptiest on, gives one or two pieces to the fuller bin where that raises the
-    sum most, for none, one or two pieces of it (two for two excepted). A bin takes part in one exchange a round. Pairs are tried in
-    bins of at most ``pair_limit`` pieces, single pieces in all. The sum rises with every exchange, so the rounds come to an end of themselves.
+    sum most, for none, one or two pieces of it (two for two excepted). A bin takes part in one exchange a round. The sum rises with every exchange, so the rounds come to an end of themselves.
     """
     bins = [list(b) for b in bins]
     while True:
@@ -140,7 +142,7 @@ def local_search(bins: list[list[int]], lengths: np.ndarray, most: int, pair_lim
         under = sorted((i for i, f in enumerate(fill) if 0 < f < most), key=lambda i: fill[i])
         if len(under) < 2:
             break
-        entries = [(fill[i], i, ()) for i in under] + [(fill[i], i, s) for i in under for s in _subsets(bins[i], lengths, pair_limit)]
+        entries = [(fill[i], i, ()) for i in under] + [(fill[i], i, s) for i in under for s in _subsets(bins[i], lengths)]
         out = np.array([sum(int(lengths[x]) for x in s) for _, _, s in entries])
         full = np.array([f for f, _, _ in entries])
         pair = np.array([len(s) == 2 for _, _, s in entries])
@@ -154,7 +156,7 @@ def local_search(bins: list[list[int]], lengths: np.ndarray, most: int, pair_lim
             if touched[src]:
                 continue
             best, what = 0, None
-            for give in _subsets(bins[src], lengths, pair_limit):
+            for give in _subsets(bins[src], lengths):
                 size = int(sum(lengths[x] for x in give))
                 at = bisect.bisect_left(takes, size)
                 up = size - out[at:]
