@@ -1,14 +1,16 @@
 """What larger tables hold and the given ones do not: queries against their SQL on small tables of such rows."""
 
 import random
+from pathlib import Path
 
 import numpy as np
 
 from oracle import same
 
-from textloom.llm import packing
+from textloom.llm import packing, warc
 from textloom.operators import dedupe
 from textloom.plans.catalog import REGISTRY
+from textloom.sources.shared import shared_dir
 
 
 def held(spark, tmp_path, name, **tables):
@@ -72,3 +74,11 @@ def test_pairs_of_full_bins():
     lengths = np.array([*[6] * 14, 11, 85])
     bins = packing.local_search([list(range(14)), [14, 15]], lengths, 100)
     assert sorted(int(lengths[b].sum()) for b in bins) == [83, 97]
+
+
+def test_archives_go_once_read(spark):
+    """A round trip leaves its table of records and not the archives beside it."""
+    folder = Path(shared_dir(spark).removeprefix("file://"))
+    before = set(folder.glob("warc-*"))
+    back = warc.round_trip(spark.createDataFrame([(1, "http://a.b/", "x")], "page_id long, url string, html string"))
+    assert set(folder.glob("warc-*")) == before and back.count() == 1

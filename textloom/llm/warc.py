@@ -223,6 +223,10 @@ def round_trip(pages: DataFrame, key: str = "page_id", min_revisit_bytes: int =
     write_archives(pages, path, key, min_revisit_bytes=min_revisit_bytes, **how)
     kind = pages.schema[key].dataType
     back = read_archives(pages.sparkSession, path)
+    # Its records are a table by now, so the archives need no more disk.
+    sc = pages.sparkSession.sparkContext
+    at = sc._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(sc._jsc.hadoopConfiguration()).delete(at, True)
     sound = F.when(F.col("error").isNotNull(), F.raise_error(F.col("error"))).otherwise(F.col("record_type"))
     return back.withColumns({"record_type": sound, "key": F.col("key").cast(kind), "refers_to": F.col("refers_to").cast(kind)})
 
