@@ -93,3 +93,14 @@ def test_table(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
     got = sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in queries.op2_suffix_dedup(spark, SF).collect())
     assert got == sorted(brute(rows, 400)) and sum(r[2] for r in got) > 0
+
+
+def test_counted_gives_runs(spark):
+    """A row for each run of strings that start elsewhere too, and not for each string."""
+    rnd = random.Random(12)
+    junk = lambda n: "".join(rnd.choice("abcdefgh") for _ in range(n))
+    one, two = junk(90).encode(), junk(50).encode()
+    rows = [(k, junk(30).encode() + bytes([128 + k]) + one + bytes([128 + k]) + junk(30 + k).encode() + bytes([128 + k]) + (two if k % 2 else junk(50).encode()) + bytes([128 + k])) for k in range(20)]
+    rows += [(20, b"short"), (21, b"q" * 60)]
+    got = sorted(map(tuple, suffix_dedup.counted(spark.createDataFrame(rows, "id long, raw binary"), 40).collect()))
+    assert got == sorted([(k, 31, 82) for k in range(20)] + [(k, 153 + k, 164 + k) for k in range(1, 20, 2)] + [(21, 0, 21)])
