@@ -3,6 +3,8 @@
 import random
 import re
 
+import numpy as np
+
 from textloom.llm import ngram_join, queries
 
 SF = "/root/testdata/sf0.01"
@@ -109,3 +111,51 @@ def test_links_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "within_stars", lambda star, members: within(star, members, block_members=7))
     got = ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string"))
     assert sorted(((r.doc_id, r.n_links) for r in got.collect()), key=repr) == brute_links(rows)
+
+
+def test_dense_group_makes_no_rows_of_pairs(spark, monkeypatch):
+    """Near copies, many of them not alike with the first: tables of pairs stay far smaller than the group's links."""
+    rnd = random.Random(21)
+    base = [f"v{i}" for i in range(150)]
+    rows = [(i, " ".join(edited(rnd, base, 1 + rnd.randrange(3)))) for i in range(240)]
+    tables, written = [], ngram_join.written
+
+    def counted(df, name):
+        out = written(df, name)
+        tables.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(ngram_join, "written", counted)
+    got = ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(((r.doc_id, r.n_links) for r in got.collect()), key=repr) == brute_links(rows)
+    assert sum(n for _, n in brute_links(rows)) > 10_000
+    assert max(k for name, k in tables if name in ("met", "pairs", "links")) < len(rows), tables
+
+
+def test_stars_of_several_components(spark, monkeypatch):
+    """Sets that are close to one leader, but alike with each other only in parts of the star."""
+    rnd = random.Random(4)
+    base = [f"v{i}" for i in range(120)]
+    kinds = [base[:80] + [f"k{k}x{i}" for i in range(40)] for k in range(3)]
+    rows = [(i, " ".join(edited(rnd, (base, *kinds)[i % 4], i // 4 % 3))) for i in range(100)] + [(200, " ".join(base[::-1]))]
+    rows = [(900 - k, t) for k, t in rows]
+    within = ngram_join.within_stars
+    monkeypatch.setattr(ngram_join, "within_stars", lambda star, members: within(star, members, block_members=9))
+    got = ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute(rows)
+    assert sorted((r.doc_id, r.n_links) for r in got) == brute_links(rows)
+
+
+def test_reached():
+    rnd = np.random.default_rng(5)
+    for n, m, same in [(1, 1, True), (7, 7, True), (30, 30, True), (5, 9, False), (40, 25, False)] * 6:
+        yes = rnd.random((n, m)) < 0.8 / max(n, m)
+        if same:
+            yes |= yes.T
+            np.fill_diagonal(yes, False)
+        root = list(range(n if same else n + m))
+        for i, j in zip(*np.nonzero(yes), strict=True):
+            a, b = root[i], root[j if same else n + j]
+            root = [min(a, b) if r in (a, b) else r for r in root]
+        linked = yes.any(axis=1) if same else np.concatenate((yes.any(axis=1), yes.any(axis=0)))
+        assert ngram_join.reached(yes, same).tolist() == [r if some else -1 for r, some in zip(root, linked, strict=True)]

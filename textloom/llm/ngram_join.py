@@ -1,13 +1,13 @@
 """N-gram Jaccard join with set-relation skipping: documents whose sets of word shingles are alike, and their components.
 
 1. Sets. Every text becomes the set of its shingles' 64-bit hashes. Equal sets are one: only the first row of each takes part further.
-2. Highly similar sets. Sets that agree in the least hash under one of three permutations, and in size class, are compared with
-   the one whose least key, over all rows with that set, is least, copies mostly coming after their original. A set found alike belongs to
-   the star of one such leader.
+2. Similar sets. Sets that agree in the least hash under one of several permutations, and in size class, meet the first of them, copies mostly
+   coming after their original. A set whose sketch of least hashes agrees in half with that one's belongs to its star, whether the two are alike or not, and a leader
+   that has a leader takes along the members close to that one too. Stars only deal out the work: a dense group is one star, though many of its members are not alike with the first.
 3. Answers within a star. Every two members are judged by how each differs from their leader, without their whole sets: with D the
    shingles that one of leader and member lacks, members a and b share |leader| - |leader without a| - |leader without b| + |D(a) and D(b)|.
    Members are dealt into blocks; a task gets two blocks, judges all their pairs at once by a matrix product over the differences that both
-   blocks have, and returns one count a member. No pair becomes a row, and a star of any size is many bounded tasks.
+   blocks have, and returns one count a member, and one edge that leads to where its links lead. No pair becomes a row, and a star of any size is many bounded tasks.
 4. Index lists by size and position. All sets share one order of shingles: by hash, but very frequent ones last. Alike sets share a
    shingle among their first (1 - t) * n + 1, and a shingle at position i leaves room for n - i shared ones. Lists are cut into blocks by size class, and
    an entry meets, as the smaller set, only the blocks that its position leaves room for; the others are skipped whole, and so is every block for entries beyond a
@@ -15,7 +15,7 @@
    sets, which bound the overlap again, and then verified on the whole sets.
 5. Components of all links, by alternating star steps.
 
-Where components alone are asked for, step 3 is left out and step 4 skips the entries of one component, whose further links join nothing more.
+Where components alone are asked for, steps 2 and 3 only hold sets against the first ones and keep those found alike, and step 4 skips the entries of one component, whose further links join nothing more.
 
 Which shingles are called frequent only orders the lists and can't change the result; they are counted in every task, summed over all and the most
 frequent ``max_hot`` broadcast (a size known beforehand). Whole sets are fetched for the texts of candidate pairs alone; their list is broadcast only if
@@ -41,8 +41,10 @@ from textloom.llm.components import components
 
 #: Similarity of at least NUM / DEN.
 NUM, DEN = 4, 5
-#: Permutations under which sets are held against the first set with the same least hash.
+#: Permutations under which sets are held against the first set with the same least hash where components alone are asked for.
 STARS = 3
+#: Bins of a sketch, and the keys taken from it under which sets meet the leader of a star.
+BINS, KEYS = 32, 8
 _U = np.uint64
 BROADCAST_BYTES = 32 << 20
 
@@ -74,6 +76,14 @@ def names(bounds: np.ndarray, found: np.ndarray) -> np.ndarray:
     return np.where(np.diff(bounds) > 0, mix(total[bounds[1:]] - total[bounds[:-1]] + np.diff(bounds).astype(_U)), _U(0))
 
 
+def sketches(bounds: np.ndarray, found: np.ndarray) -> np.ndarray:
+    """32 bits of each set's least shingle in each of ``BINS`` bins; 0 where a bin is empty. Shingles of a set come in order."""
+    out = np.zeros((len(bounds) - 1, BINS), np.uint32)
+    row = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    out[row[::-1], (found & _U(BINS - 1)).astype(np.int64)[::-1]] = ((found >> _U(5)).astype(np.uint32) | np.uint32(1))[::-1]
+    return out
+
+
 def prefix_length(size: np.ndarray) -> np.ndarray:
     return size - (NUM * size + DEN - 1) // DEN + 1
 
@@ -117,8 +127,8 @@ def ordered(bounds: np.ndarray, found: np.ndarray, hot: np.ndarray) -> np.ndarra
     return key
 
 
-def describe(documents: DataFrame, key: str, text: str, n: int, hot: np.ndarray) -> DataFrame:
-    """A written table of (rid, key, size, name, m0, m1, ..., prefix) per document; ``prefix`` holds the size, then the first shingles in order."""
+def describe(documents: DataFrame, key: str, text: str, n: int, hot: np.ndarray, sketched: bool = True) -> DataFrame:
+    """A written table of (rid, key, size, name, m0, m1, ..., sketch, prefix) per document; ``sketch`` is empty unless ``sketched``; ``prefix`` holds the size, then the first shingles in order."""
     rows = documents.select(F.col(key).alias("key"), F.col(text).alias("text"))
     kind = rows.schema["key"].dataType.simpleString()
     stars = [f"m{k}" for k in range(STARS)]
@@ -139,10 +149,11 @@ def describe(documents: DataFrame, key: str, text: str, n: int, hot: np.ndarray)
                 buckets = [mix(x ^ (np.floor(grade + k / STARS).astype(_U) + _U(k << 32))).view(np.int64) for k, x in enumerate(least)]
                 key, keep = ordered(bounds, found, hot), np.where(some, prefix_length(size), 0)
                 prefix = [size[i].astype(np.int64).tobytes() + key[b : b + k].tobytes() for i, (b, k) in enumerate(zip(bounds[:-1].tolist(), keep.tolist(), strict=True))]
-                columns = [batch.column(0).slice(lo, hi - lo), pa.array(size), pa.array(name.view(np.int64)), *map(pa.array, buckets), pa.array(prefix, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, ["key", "size", "name", *stars, "prefix"])
+                sketch = pa.array([x.tobytes() for x in sketches(bounds, found)] if sketched else [b""] * (hi - lo), pa.binary())
+                columns = [batch.column(0).slice(lo, hi - lo), pa.array(size), pa.array(name.view(np.int64)), *map(pa.array, buckets), sketch, pa.array(prefix, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["key", "size", "name", *stars, "sketch", "prefix"])
 
-    schema = f"key {kind}, size long, name long, {', '.join(f'{m} long' for m in stars)}, prefix binary"
+    schema = f"key {kind}, size long, name long, {', '.join(f'{m} long' for m in stars)}, sketch binary, prefix binary"
     return written(rows.mapInArrow(work, schema).withColumn("rid", F.monotonically_increasing_id()), "sets")
 
 
@@ -200,6 +211,54 @@ def maybe_alike(a: pa.Array, b: pa.Array) -> pa.Array:
     return pa.array(out, pa.bool_())
 
 
+def close(a: pa.Array, b: pa.Array) -> pa.Array:
+    """Whether sketches agree in half of the bins in which one of both has a shingle."""
+    p, q = (text_bytes(x)[0].view(np.uint32).reshape(-1, BINS) for x in (a, b))
+    return pa.array(2 * ((p == q) & (p > 0)).sum(axis=1) >= ((p > 0) | (q > 0)).sum(axis=1))
+
+
+def keyed(reps: DataFrame) -> DataFrame:
+    """(bucket, name, first, rid): ``KEYS`` buckets of each of ``reps``, which sets with the same least shingles and of similar sizes share."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            sketch = text_bytes(batch.column(4))[0].view(np.uint32).reshape(-1, BINS).copy()
+            for k in (*range(BINS - 2, -1, -1), BINS - 1, *range(BINS - 2, -1, -1)):  # empty bins are lent the next one's shingle
+                sketch[:, k] = np.where(sketch[:, k], sketch[:, k], sketch[:, (k + 1) % BINS])
+            grade = np.log2(batch.column(3).to_numpy())
+            buckets = [mix(sketch[:, k * BINS // KEYS].astype(_U) ^ (np.floor(grade + k / KEYS).astype(_U) << _U(40)) ^ _U(k << 56)) for k in range(KEYS)]
+            row = np.repeat(np.arange(batch.num_rows), KEYS)
+            yield pa.RecordBatch.from_arrays([pa.array(np.stack(buckets, 1).ravel().view(np.int64)), *[batch.column(c).take(pa.array(row)) for c in range(3)]], ["bucket", "name", "first", "rid"])
+
+    kind = reps.schema["first"].dataType.simpleString()
+    return reps.select("name", "first", "rid", "size", "sketch").mapInArrow(work, f"bucket long, name long, first {kind}, rid long")
+
+
+def loose_stars(reps: DataFrame, jumps: int = 2) -> DataFrame:
+    """A written table of (a, b) for each set a that shares a star with others: b is its leader, close to a by their sketches. A leader is in its own star unless it is in another."""
+    sketch = reps.select("name", "sketch")
+
+    def close_ones(pairs: DataFrame) -> DataFrame:
+        """Those of ``pairs`` (a, b), with b a struct (first, rid, name), that are close."""
+        x = pairs.join(sketch.select(F.col("name").alias("a"), F.col("sketch").alias("x")), "a")
+        y = sketch.select(F.col("name").alias("to"), F.col("sketch").alias("y"))
+        return x.join(y, x["b.name"] == y["to"]).filter(F.arrow_udf(close, "boolean")("x", "y")).select("a", "b")
+
+    buckets = keyed(reps)
+    leaders = buckets.groupBy("bucket").agg(F.min(F.struct("first", "rid", "name")).alias("b"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    met = buckets.select("bucket", F.col("name").alias("a")).join(leaders, "bucket").filter("a != b.name").select("a", "b").distinct()
+    best = written(close_ones(met).groupBy("a").agg(F.min("b").alias("b")), "leaders")
+    for _ in range(jumps):
+        # Leaders follow leaders of their own; their members go along where these are close to them too.
+        on = best.select(F.col("a").alias("via"), F.col("b").alias("c"))
+        further = close_ones(best.join(on, best["b.name"] == on["via"]).select("a", F.col("c").alias("b")))
+        best = written(best.join(further.withColumnRenamed("b", "c"), "a", "left").select("a", F.coalesce("c", "b").alias("b")), "leaders")
+    own = best.select(F.col("b.name").alias("a")).distinct().join(best.select("a"), "a", "left_anti")
+    return written(best.select("a", F.col("b.name").alias("b")).unionByName(own.select("a", F.col("a").alias("b"))), "stars")
+
+
 def differences(x: pa.Array, y: pa.Array) -> pa.Array:
     """For each member x of the leader y: the leader's size, how many of its shingles the member lacks, and then the shingles that one of both lacks, sorted."""
     out = []
@@ -209,18 +268,24 @@ def differences(x: pa.Array, y: pa.Array) -> pa.Array:
     return pa.array(out, pa.binary())
 
 
-def alike_counts(left: list[np.ndarray], right: list[np.ndarray], same: bool) -> tuple[np.ndarray, np.ndarray]:
-    """For each of the ``differences`` in both lists, how many in the other list are alike, all being of one leader; with ``same`` both are one list, and none counts for itself."""
+def alike_members(left: list[np.ndarray], right: list[np.ndarray], same: bool) -> np.ndarray:
+    """Which of the ``differences`` of one list are alike with which of the other, all being of one leader; with ``same`` both are one list, and none is alike with itself."""
     shared = np.zeros((len(left), len(right)), np.float32)
-    both = np.intersect1d(np.concatenate([p[2:] for p in left]), np.concatenate([q[2:] for q in right]))
+    values = [np.concatenate([p[2:] for p in m]) for m in (left, right)]
+    both = np.intersect1d(*values)
+    places = []
+    for members, value in zip((left, right), values, strict=True):
+        row = np.repeat(np.arange(len(members)), [len(p) - 2 for p in members])
+        at = np.searchsorted(both, value)
+        has = np.flatnonzero(both[np.minimum(at, len(both) - 1)] == value) if len(both) else at[:0]
+        has = has[np.argsort(at[has], kind="stable")]
+        places.append((row[has], at[has]))
     for lo in range(0, len(both), 2048):
-        some, sides = both[lo : lo + 2048], []
-        for members in (left, right):
-            has = np.zeros((len(members), len(some)), np.float32)
-            for i, p in enumerate(members):
-                at = np.searchsorted(some, p[2:])
-                at[at == len(some)] = 0
-                has[i, at[some[at] == p[2:]]] = 1
+        sides = []
+        for members, (row, at) in zip((left, right), places, strict=True):
+            i, j = np.searchsorted(at, (lo, lo + 2048))
+            has = np.zeros((len(members), min(2048, len(both) - lo)), np.float32)
+            has[row[i:j], at[i:j] - lo] = 1
             sides.append(has)
         shared += sides[0] @ sides[1].T
     leader = int(left[0][0])
@@ -230,11 +295,31 @@ def alike_counts(left: list[np.ndarray], right: list[np.ndarray], same: bool) ->
     yes = shared * DEN >= NUM * (size[0][:, None] + size[1][None, :] - shared)
     if same:
         np.fill_diagonal(yes, False)
-    return yes.sum(axis=1), yes.sum(axis=0)
+    return yes
+
+
+def reached(yes: np.ndarray, same: bool) -> np.ndarray:
+    """For each row, and then for each column unless they are the rows, the number of a row that links lead to; -1 without links."""
+    rows, columns = np.full(yes.shape[0], -1), np.full(yes.shape[1], -1)
+    if same:
+        columns = rows
+    for start in np.flatnonzero(yes.any(axis=1)):
+        if rows[start] >= 0:
+            continue
+        new = np.array([start])
+        rows[start] = start
+        while len(new):
+            met = np.flatnonzero(yes[new].any(axis=0) & (columns < 0))
+            columns[met] = start
+            new = met
+            if not same:
+                new = np.flatnonzero(yes[:, met].any(axis=1) & (rows < 0))
+                rows[new] = start
+    return rows if same else np.concatenate((rows, columns))
 
 
 def within_stars(star: DataFrame, members: DataFrame, block_members: int = 1024, block_bytes: int = 1 << 23) -> DataFrame:
-    """(name, links): how many other members of its star a set is alike with. ``star``: (a, b) of one leader b for each member a, a pair that is alike."""
+    """A written table of (name, links, root), some rows a set: ``links`` sum to how many other members of its star it is alike with, and links lead from it to each ``root``. ``star``: (a, b) of one leader b for each member a."""
     x = star.join(members, star["a"] == members["name"]).select("a", "b", F.col("members").alias("x"))
     both = x.join(members, x["b"] == members["name"]).select("a", "b", "x", F.col("members").alias("y"))
     each = written(both.select("b", "a", F.arrow_udf(differences, "binary")("x", "y").alias("d")), "differences")
@@ -250,13 +335,14 @@ def within_stars(star: DataFrame, members: DataFrame, block_members: int = 1024,
         is_left = rows.column("is_left").to_numpy(zero_copy_only=False)
         left, right = np.flatnonzero(is_left), np.flatnonzero(is_left) if same else np.flatnonzero(~is_left)
         if not len(left) or not len(right):
-            return pa.table({"name": pa.array([], pa.int64()), "links": pa.array([], pa.int64())})
-        of_left, of_right = alike_counts([lists[i] for i in left], [lists[i] for i in right], same)
-        if same:
-            return pa.table({"name": name[left], "links": of_left.astype(np.int64)})
-        return pa.table({"name": np.concatenate((name[left], name[right])), "links": np.concatenate((of_left, of_right)).astype(np.int64)})
+            return pa.table({"name": pa.array([], pa.int64()), "links": pa.array([], pa.int64()), "root": pa.array([], pa.int64())})
+        yes = alike_members([lists[i] for i in left], [lists[i] for i in right], same)
+        links = yes.sum(axis=1) if same else np.concatenate((yes.sum(axis=1), yes.sum(axis=0)))
+        some, root = np.flatnonzero(links), reached(yes, same)
+        own = name[left] if same else np.concatenate((name[left], name[right]))
+        return pa.table({"name": own[some], "links": links[some].astype(np.int64), "root": name[left][root[some]]})
 
-    return dealt.groupBy("task").applyInArrow(count, "name long, links long").groupBy("name").agg(F.sum("links").alias("links"))
+    return written(dealt.groupBy("task").applyInArrow(count, "name long, links long, root long"), "within")
 
 
 def size_class(size: Column) -> Column:
@@ -304,24 +390,26 @@ def candidates(index: DataFrame) -> DataFrame:
 
 def join(documents: DataFrame, key: str = "doc_id", text: str = "text", n: int = 5, count_links: bool = True) -> DataFrame:
     """(key, n_shingles, component_id, n_links) per document; ``n_links`` counts the other different sets that are alike, and is left out without ``count_links``."""
-    docs = describe(documents, key, text, n, hot_shingles(documents, text, n))
+    docs = describe(documents, key, text, n, hot_shingles(documents, text, n), sketched=count_links)
     full = docs.filter("size > 0")
     reps = full.groupBy("name").agg(F.min("rid").alias("rid"), F.min("key").alias("first"))
     reps = written(full.drop("prefix", "name").join(reps, "rid"), "reps")
     wanted = reps.select("key", "name")
 
-    stars = []
-    for m in (f"m{k}" for k in range(STARS)):
-        leader = reps.groupBy(m).agg(F.min_by("name", F.struct("first", "rid")).alias("b"), F.count(F.lit(1)).alias("n")).filter("n > 1").select(m, "b")
-        stars.append(reps.select(F.col("name").alias("a"), m).join(leader, m).filter("a != b").select("a", "b"))
     prefixes = docs.join(small_side(reps.select("rid"), 32), "rid", "left_semi").select("name", F.col("prefix").alias("members"))
-    stars = paired(written(reduce(DataFrame.unionByName, stars).distinct(), "stars"), prefixes, maybe_alike)
-    stars = written(stars, "stars")
-    members = spelled(documents, key, text, n, wanted, stars)
-    near = written(paired(stars, members, alike), "near")
-    # A leader is in its own star if it is a member of no other; those that are in another leave only their members behind.
-    star = near.groupBy("a").agg(F.min("b").alias("b"))
-    part = star.select(F.col("a").alias("node"), F.col("b").alias("root")) if count_links else components(near)
+    if count_links:
+        part = loose_stars(reps)
+        inside = within_stars(part, spelled(documents, key, text, n, wanted, part))
+        near, part = inside.select(F.col("name").alias("a"), F.col("root").alias("b")), part.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    else:
+        stars = []
+        for m in (f"m{k}" for k in range(STARS)):
+            leader = reps.groupBy(m).agg(F.min_by("name", F.struct("first", "rid")).alias("b"), F.count(F.lit(1)).alias("n")).filter("n > 1").select(m, "b")
+            stars.append(reps.select(F.col("name").alias("a"), m).join(leader, m).filter("a != b").select("a", "b"))
+        stars = paired(written(reduce(DataFrame.unionByName, stars).distinct(), "stars"), prefixes, maybe_alike)
+        stars = written(stars, "stars")
+        near = written(paired(stars, spelled(documents, key, text, n, wanted, stars), alike), "near")
+        part = components(near)
 
     parts = reps.select("rid", "name").join(part.withColumnRenamed("node", "name"), "name", "left")
     parts = small_side(written(parts.select("rid", F.coalesce("root", "name").alias("part")), "parts"), 48)
@@ -333,11 +421,8 @@ def join(documents: DataFrame, key: str = "doc_id", text: str = "text", n: int =
     roots = components(links)
     placed = docs.select("rid", "key", "size", "name").join(roots.withColumnRenamed("node", "name"), "name", "left").withColumn("root", F.coalesce("root", "name"))
     if count_links:
-        # Leaders of other permutations can share a star with their members; those pairs are counted within the star.
-        apart = near.join(star.select("a", F.col("b").alias("x")), "a").join(star.select(F.col("a").alias("b"), F.col("b").alias("y")), "b", "left").filter("y IS NULL OR x != y")
-        across = apart.select("a", "b").unionByName(far).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        ends = across.select(F.explode(F.array("a", "b")).alias("name")).groupBy("name").agg(F.count(F.lit(1)).alias("links"))
-        degree = ends.unionByName(within_stars(star, members)).groupBy("name").agg(F.sum("links").alias("links"))
+        ends = far.select(F.explode(F.array("a", "b")).alias("name")).groupBy("name").agg(F.count(F.lit(1)).alias("links"))
+        degree = ends.unionByName(inside.select("name", "links")).groupBy("name").agg(F.sum("links").alias("links"))
         placed = placed.join(degree, "name", "left")
     least = placed.filter("size > 0").groupBy("root").agg(F.min("key").alias("least"))
     out = placed.join(least, "root", "left")
