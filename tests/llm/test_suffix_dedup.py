@@ -104,3 +104,22 @@ def test_counted_gives_runs(spark):
     rows += [(20, b"short"), (21, b"q" * 60)]
     got = sorted(map(tuple, suffix_dedup.counted(spark.createDataFrame(rows, "id long, raw binary"), 40).collect()))
     assert got == sorted([(k, 31, 82) for k in range(20)] + [(k, 153 + k, 164 + k) for k in range(1, 20, 2)] + [(21, 0, 21)])
+
+
+def test_contents_of_two_blocks(spark):
+    """Texts of two alternating blocks, as in the Thue-Morse sequence, cancel out in sums of powers modulo 2^64: they are not equal to their complements."""
+    rnd = random.Random(3)
+    junk = lambda n: "".join(rnd.choice("cdefgh") for _ in range(n))
+    for zero, one in (("a", "b"), (junk(64), junk(64))):
+        bits = "01"
+        while len(bits) < 1024 // min(4, len(zero)):
+            bits += bits.translate(str.maketrans("01", "10"))
+        for k in range(4):
+            before, after = junk(200), junk(200)
+            rows = [(i, before + "".join(zero if b == c else one for b in bits) + after) for i, c in enumerate("01")]
+            raws = [r[1].encode() for r in rows]
+            found = [suffix_dedup.stretches(np.frombuffer(r, np.uint8), np.array([0, len(r)]), 400, 32) for r in raws]
+            spelled = {(c, n): r[s : s + n + 399] for r, x in zip(raws, found, strict=True) for s, n, c in zip(x[1].tolist(), x[2].tolist(), x[4].tolist(), strict=True)}
+            assert all(spelled[c, n] == r[s : s + n + 399] for r, x in zip(raws, found, strict=True) for s, n, c in zip(x[1].tolist(), x[2].tolist(), x[4].tolist(), strict=True))
+            if k == 0:
+                assert run(spark, rows, 400) == brute(rows, 400)
