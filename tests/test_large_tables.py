@@ -126,3 +126,17 @@ def test_leaders_of_a_group_move_sets_once(spark, monkeypatch):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
     assert shuffled(spark) - before < 4 << 20
+
+
+def test_pairs_are_pruned_in_any_number_of_slices(spark, monkeypatch):
+    """Sets that share their rarest tokens and are not alike: signatures prune them even where those of all sets are more than a task holds."""
+    rnd = random.Random(2)
+    rows = [(i, [f"g{i % 5}x{k}" for k in range(10)] + [f"w{k}" for k in sorted(rnd.sample(range(120), 60))]) for i in range(300)]
+    rows += [(300 + i, rows[i][1][:-1]) for i in range(0, 300, 60)]
+    monkeypatch.setattr(dedupe.signatures, "__defaults__", (0,))
+    folder = Path(shared_dir(spark).removeprefix("file://"))
+    before = set(folder.glob("met-*"))
+    got = dedupe.similar_pairs(spark.createDataFrame(rows, "id long, t array<string>"), "id", "t", 0.86)
+    assert sorted((r.a, r.b) for r in got.collect()) == [(i, 300 + i) for i in range(0, 300, 60)]
+    (met,) = set(folder.glob("met-*")) - before
+    assert spark.read.parquet(str(met)).count() < 500
